@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import lookalike
+from . import fragments, lookalike
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -18,5 +18,10 @@ def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical_forms(table(spark, d, "tweets").select("rec_id", "text")).select("rec_id", "canonical_text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical)}
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = fragments.similar_ids(table(spark, d, "tweets"), "tweet_id")
+    return pairs.select(F.col("a").alias("tweet_id_a"), F.col("b").alias("tweet_id_b"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p6_found)}
 ORACLE: dict[str, str] = {}
