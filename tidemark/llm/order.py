@@ -19,13 +19,16 @@ from pyspark.sql import functions as F
 SHARE = 1 / 20_000
 
 
-def _frequent(share: float):
+def listed(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).flatten().to_numpy(zero_copy_only=False)
+
+
+def _frequent(share: float, values):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts, rows = np.empty(0, np.int64), np.empty(0, np.int64), 0
         for batch in batches:
-            col = batch.column(0)
-            rows += len(col)
-            t, c = np.unique(col.flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            rows += batch.num_rows
+            t, c = np.unique(values(batch), return_counts=True)
             both = np.concatenate([tokens, t])
             tokens, where = np.unique(both, return_inverse=True)
             counts = np.bincount(where, np.concatenate([counts, c]), len(tokens)).astype(np.int64)
@@ -35,9 +38,9 @@ def _frequent(share: float):
     return run
 
 
-def frequent_tokens(tokens: DataFrame, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """(token hashes ascending, their ranks from 1 by ascending count) of the frequent tokens of an array<long> column."""
-    found = tokens.mapInArrow(_frequent(share), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+def frequent_tokens(tokens: DataFrame, share: float = SHARE, values=listed) -> tuple[np.ndarray, np.ndarray]:
+    """(token hashes ascending, their ranks from 1 by ascending count) of the frequent tokens of the first column: array<long>, or whatever ``values`` reads."""
+    found = tokens.mapInArrow(_frequent(share, values), "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     found = found.sort_values(["n", "token"])
     hashes, ranks = found.token.to_numpy(np.int64), np.arange(1, len(found) + 1, dtype=np.int64)
     by = np.argsort(hashes)

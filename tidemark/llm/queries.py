@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import fragments, lookalike
+from . import chunks, fragments, lookalike
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -23,5 +23,16 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("tweet_id_a"), F.col("b").alias("tweet_id_b"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p6_found)}
+def _post_text() -> Column:
+    return F.coalesce("text_normalized", F.lower("text"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    columns = ("tweet_id", "source_hashtag", "post_text", "rec_id")
+    known = chunks.ChunkTable.begin(table(spark, d, "tweets").withColumn("post_text", _post_text()), *columns)
+    found = known.check(table(spark, d, "tweet_batches").withColumn("post_text", _post_text()), *columns)
+    return found.select(F.col("seq").alias("rec_id"), "dup_kind")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p6_found, p7_found)}
 ORACLE: dict[str, str] = {}
