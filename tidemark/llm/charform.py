@@ -26,24 +26,35 @@ NON_ASCII = r"[^\x00-\x7F]"
 WORD_BREAK = r"[ \t\n\r\f\x0B\x1C-\x1F\x85\u2028\u2029]+"
 
 
+def _widths() -> dict[str, str]:
+    """Wide and narrow forms, and all blanks, with their normal form."""
+    out = {}
+    for c in range(0x80, 0x10000):
+        kind, _, rest = unicodedata.decomposition(chr(c)).partition(" ")
+        if unicodedata.category(chr(c)) == "Zs":
+            out[chr(c)] = " "
+        elif kind in ("<wide>", "<narrow>"):
+            out[chr(c)] = chr(int(rest, 16))
+    return out
+
+
 def _tables() -> tuple[str, str, dict[str, str]]:
     """Characters replaced, their one-character replacements (characters beyond these are removed), and ligatures with their letters."""
     one: dict[str, str] = dict(zip(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS)) | dict.fromkeys(HYPHENS, "-")
     gone = {chr(c) for a, b in INVISIBLE for c in range(a, b + 1)}
-    ligatures = {}
+    ligatures, widths = {}, _widths()
     for c in range(0x80, 0x10000):
         ch = chr(c)
-        kind, _, rest = unicodedata.decomposition(ch).partition(" ")
-        if unicodedata.category(ch) == "Zs":
-            one[ch] = " "
-        elif kind in ("<wide>", "<narrow>") and ch not in gone:
-            one[ch] = one.get(wide := chr(int(rest, 16)), wide)
+        kind = unicodedata.decomposition(ch).partition(" ")[0]
+        if ch in widths and ch not in gone:
+            one[ch] = one.get(widths[ch], widths[ch])
         elif kind == "<compat>" and "LATIN" in unicodedata.name(ch, "") and "LIGATURE" in unicodedata.name(ch, ""):
             ligatures[ch] = unicodedata.normalize("NFKC", ch)
     return "".join(one) + "".join(sorted(gone)), "".join(one.values()), ligatures
 
 
 FROM, TO, LIGATURES = _tables()
+WIDTH_FROM, WIDTH_TO = "".join(_widths()), "".join(_widths().values())
 
 
 def _icu(form: str, c: Column, compat: bool) -> Column:

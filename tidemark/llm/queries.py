@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import chunks, fragments, lookalike
+from . import charform, chunks, cooccur, fragments, lookalike
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -18,6 +18,29 @@ def p1_canonical(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.canonical_forms(table(spark, d, "tweets").select("rec_id", "text")).select("rec_id", "canonical_text")
 
 
+def _baskets(df: DataFrame) -> DataFrame:
+    return cooccur.baskets(df, "tweet_id", F.col("hashtags"), F.array("source_hashtag"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return cooccur.PairTable(spark).apply(_baskets(table(spark, d, "tweets"))).associated().select("tag_a", "tag_b")
+
+
+def p2_scores(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs with their counts and lift."""
+    found = cooccur.PairTable(spark).apply(_baskets(table(spark, d, "tweets"))).scores()
+    return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
+
+
+def p2_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The same after the batches came as a second delta."""
+    first, new = table(spark, d, "tweets"), table(spark, d, "tweet_batches")
+    state = cooccur.PairTable(spark).apply(_baskets(first))
+    merged = first.select("tweet_id", "hashtags", "source_hashtag").join(new.select("tweet_id").distinct(), "tweet_id", "left_semi").unionByName(new.select("tweet_id", "hashtags", "source_hashtag"))
+    found = state.apply(_baskets(merged)).scores()
+    return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = fragments.similar_ids(table(spark, d, "tweets"), "tweet_id")
     return pairs.select(F.col("a").alias("tweet_id_a"), F.col("b").alias("tweet_id_b"))
@@ -34,5 +57,27 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("seq").alias("rec_id"), "dup_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p6_found, p7_found)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p6_found, p7_found)}
+
+_WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
+
+
+def _pair_sql(source: str) -> str:
+    return f"""
+WITH rows AS ({source}),
+tags AS (SELECT DISTINCT tweet_id, regexp_replace(lower(nfc_normalize(translate(t, '{_WIDE}', '{_NORMAL}'))), '^[ #]+| +$', '', 'g') AS tag
+         FROM (SELECT tweet_id, unnest(list_append(coalesce(hashtags, []), source_hashtag)) AS t FROM rows)),
+kept AS (SELECT * FROM tags WHERE tag <> ''),
+size AS (SELECT count(DISTINCT tweet_id) AS n_baskets FROM rows),
+one AS (SELECT tag, count(*) AS n FROM kept GROUP BY tag),
+pair AS (SELECT a.tag AS tag_a, b.tag AS tag_b, count(*) AS n FROM kept a JOIN kept b ON a.tweet_id = b.tweet_id AND a.tag < b.tag GROUP BY ALL)
+SELECT tag_a, tag_b, pair.n AS n, x.n AS n_a, y.n AS n_b, n_baskets, round(pair.n * n_baskets / (x.n::DOUBLE * y.n), 6) AS lift
+FROM pair JOIN one x ON x.tag = tag_a JOIN one y ON y.tag = tag_b CROSS JOIN size"""
+
+
+_FIRST = "SELECT tweet_id, hashtags, source_hashtag FROM tweets"
+ORACLE: dict[str, str] = {
+    "p2_scores": _pair_sql(_FIRST),
+    "p2_incremental": _pair_sql(_FIRST + " UNION ALL SELECT tweet_id, hashtags, source_hashtag FROM tweet_batches"),
+    "p2_found": f"SELECT tag_a, tag_b FROM ({_pair_sql(_FIRST)}) WHERE n >= 5 AND n * 500 >= n_baskets AND n * n_baskets >= 3 * n_a * n_b",
+}
