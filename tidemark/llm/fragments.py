@@ -54,7 +54,9 @@ def _prefixes(hashes: np.ndarray, ranks: np.ndarray, num: int, den: int):
             size = np.repeat(sizes, sizes).astype(np.int64)
             keep = pos < size - _ceil(num * size, den) + 1
             indexed = pos < size - _ceil(2 * num * size, num + den) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(token[by][keep]), pa.array(key[row[keep]]), pa.array(size[keep].astype(np.int32)), pa.array(pos[keep].astype(np.int32)), pa.array(indexed[keep])], names=["token", "key", "size", "pos", "indexed"])
+            bits = np.zeros(len(sizes), np.uint64)
+            np.bitwise_or.at(bits, row, np.uint64(1) << (token.view(np.uint64) >> np.uint64(58)))
+            yield pa.RecordBatch.from_arrays([pa.array(token[by][keep]), pa.array(key[row[keep]]), pa.array(size[keep].astype(np.int32)), pa.array(pos[keep].astype(np.int32)), pa.array(bits.view(np.int64)[row[keep]]), pa.array(indexed[keep])], names=["token", "key", "size", "pos", "bits", "indexed"])
 
     return run
 
@@ -76,22 +78,27 @@ def _fragments(hashes: np.ndarray, ranks: np.ndarray):
 
 
 def candidates(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of keys whose counts in fragment 0, and what could still follow, allow the threshold: (x, y), y the smaller record."""
-    p = postings.select("token", F.col("key").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"))
-    i = postings.where("indexed").select("token", F.col("key").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"))
+    """Pairs of keys whose counts in fragment 0, and what could still follow, allow the threshold: (x, y), y the smaller record.
+
+    ``bits`` has one bit per token, 64 in all: bits in which two records differ are tokens that only one of them has, so
+    most pairs that meet in a token by chance are dropped in the join.
+    """
+    p = postings.select("token", F.col("key").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), F.col("bits").alias("xb"))
+    i = postings.where("indexed").select("token", F.col("key").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"), F.col("bits").alias("yb"))
     rest = f"least(xs - xp, ys - yp) * {num + den} >= {num} * (xs + ys)"
-    met = p.join(i, "token").where(f"(ys < xs OR (ys = xs AND y < x)) AND {den} * ys >= {num} * xs AND {rest}")
-    counted = met.groupBy("x", "y").agg(F.count("*").alias("shared"), F.max(F.struct("xp", "yp")).alias("last"), F.first("xs").alias("xs"), F.first("ys").alias("ys"))
-    return counted.where(f"(shared + least(xs - last.xp, ys - last.yp) - 1) * {num + den} >= {num} * (xs + ys)").select("x", "y")
+    apart = f"(xs + ys - bit_count(xb ^ yb)) * {num + den} >= {2 * num} * (xs + ys)"
+    met = p.join(i, "token").where(f"(ys < xs OR (ys = xs AND y < x)) AND {den} * ys >= {num} * xs AND {rest} AND {apart}")
+    counted = met.groupBy("x", "y").agg(F.count("*").alias("shared"), F.max("xp").alias("xp"), F.max("yp").alias("yp"), F.first("xs").alias("xs"), F.first("ys").alias("ys"))
+    return counted.where(f"(shared + least(xs - xp, ys - yp) - 1) * {num + den} >= {num} * (xs + ys)").select("x", "y")
 
 
 def similar_records(df: DataFrame, tokens, text: str = "text", num: int = 7, den: int = 10) -> tuple[DataFrame, DataFrame]:
     """(pairs, rows): pairs (x, y, shared, size_x, size_y) of different texts at least ``num / den`` alike, and ``df`` with each row's record in ``tm_key``."""
     rows = df.where(F.col(text).isNotNull()).withColumn("tm_key", F.xxhash64(text))
-    texts = cut(rows.select("tm_key", F.col(text).alias("tm_text")).groupBy("tm_key").agg(F.first("tm_text").alias("tm_text")), "texts")
-    sets = texts.select("tm_key", tokens(F.col("tm_text")).alias("tokens"))
+    texts = rows.select("tm_key", F.col(text).alias("tm_text")).groupBy("tm_key").agg(F.first("tm_text").alias("tm_text"))
+    sets = cut(texts.select("tm_key", tokens(F.col("tm_text")).alias("tokens")), "tokens")
     hashes, ranks = order.frequent_tokens(sets.select("tokens"))
-    postings = sets.mapInArrow(_prefixes(hashes, ranks, num, den), "token long, key long, size int, pos int, indexed boolean")
+    postings = sets.mapInArrow(_prefixes(hashes, ranks, num, den), "token long, key long, size int, pos int, bits long, indexed boolean")
     found = cut(candidates(postings, num, den), "pairs")
     wanted = found.select(F.explode(F.array("x", "y")).alias("tm_key")).distinct()
     parts = sets.join(wanted, "tm_key", "left_semi").mapInArrow(_fragments(hashes, ranks), "key long, size int, cuts array<array<long>>")
@@ -107,8 +114,7 @@ def similar_ids(df: DataFrame, id_col: str, text: str = "text", num: int = 7, de
     pairs, rows = similar_records(df.select(id_col, text), tokens, text, num, den)
     members = rows.groupBy("tm_key", id_col).agg(F.lit(1).alias("tm_one")).select("tm_key", F.col(id_col).alias("tm_id"))
     left, right = members.select(F.col("tm_key").alias("x"), F.col("tm_id").alias("a")), members.select(F.col("tm_key").alias("y"), F.col("tm_id").alias("b"))
-    across = pairs.select("x", "y").join(left, "x").join(right, "y").where("a <> b")
-    shared = members.groupBy("tm_key").agg(F.count("*").alias("n")).where("n > 1").select("tm_key")
-    same = members.join(shared, "tm_key", "left_semi")
-    within = same.alias("p").join(same.alias("q"), "tm_key").where("p.tm_id < q.tm_id").select(F.col("p.tm_id").alias("a"), F.col("q.tm_id").alias("b"))
-    return across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(within).distinct()
+    shared = members.groupBy("tm_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("tm_key").alias("x"), F.col("tm_key").alias("y"))
+    alike = cut(pairs.select("x", "y").union(shared), "alike")
+    met = alike.join(left, "x").join(right, "y").where("a < b OR (x <> y AND a <> b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
