@@ -30,8 +30,15 @@ def local_session(cores: str = "*", memory: str = "8g", shuffle_partitions: int
     return spark
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings that change no result. Spark 4.1 plans a union of differently partitioned inputs as if they were partitioned alike, and adaptive execution then fails to join it."""
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") != "false":
+        spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables, by name."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder."""
+    prepare(spark)
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
