@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import charform, chunks, cooccur, fragments, lookalike
+from . import charform, chunks, cooccur, fragments, leaks, lookalike, packing
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +57,30 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("seq").alias("rec_id"), "dup_kind")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p6_found, p7_found)}
+def _capacities(spark: SparkSession, d: str) -> list[tuple[int, int]]:
+    return [tuple(r) for r in table(spark, d, "pack_sizes").select("pack_id", F.col("capacity_tokens").cast("long")).orderBy("pack_id").collect()]
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    found = packing.pack_texts(table(spark, d, "documents"), "doc_id", "text", _capacities(spark, d))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Per capacity: containers, tokens and the share of space used."""
+    used = p8_containers(spark, d).groupBy("pack_id").agg(F.count_distinct("container").alias("containers"), F.sum("n_tokens").alias("tokens"))
+    return used.join(F.broadcast(table(spark, d, "pack_sizes").select("pack_id", "capacity_tokens")), "pack_id").withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaked(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p9_clean(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.without_passages(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean)}
 
 _WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
 
