@@ -32,7 +32,7 @@ def local_session(cores: str = "*", memory: str = "8g", shuffle_partitions: int
 
 def prepare(spark: SparkSession) -> None:
     """Settings that change no result. Spark 4.1 plans a union of differently partitioned inputs as if they were partitioned alike, and adaptive execution then fails to join it."""
-    if spark.conf.get("spark.sql.unionOutputPartitioning", "false") != "false":
+    if spark.conf.get("spark.sql.unionOutputPartitioning", "true") != "false":
         spark.conf.set("spark.sql.unionOutputPartitioning", "false")
 
 
