@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import charform, chunks, cooccur, fragments, leaks, lookalike, packing
+from . import charform, chunks, cooccur, fragments, language, leaks, lookalike, packing
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +41,18 @@ def p2_incremental(spark: SparkSession, d: str) -> DataFrame:
     return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    model = language.fit_samples(table(spark, d, "lang_samples"))
+    hint = language.hint_form(F.col("lang_hint")).alias("hint")
+    posts = table(spark, d, "tweets").select("rec_id", "text", hint)
+    return language.identify(posts, "rec_id", "text", model, "hint").where("hint IS NULL OR hint <> lang").select(F.col("id").alias("rec_id"), "lang")
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    model = language.fit_samples(table(spark, d, "lang_samples"))
+    return language.segments(table(spark, d, "tweets"), "rec_id", "text", model).withColumnRenamed("id", "rec_id")
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = fragments.similar_ids(table(spark, d, "tweets"), "tweet_id")
     return pairs.select(F.col("a").alias("tweet_id_a"), F.col("b").alias("tweet_id_b"))
@@ -80,7 +92,7 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
     return leaks.without_passages(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean)}
 
 _WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
 
