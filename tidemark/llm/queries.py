@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import charform, chunks, cooccur, fragments, language, leaks, lookalike, packing
+from . import charform, chunks, cooccur, fragments, language, leaks, lookalike, packing, topics
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -92,7 +92,18 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
     return leaks.without_passages(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    model, numbered = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+    return topics.assign(model, numbered).select(F.col("id").alias("doc_id"), "subject").distinct()
+
+
+def p10_topics(spark: SparkSession, d: str) -> DataFrame:
+    """Every topic with its subject and top terms, for inspection."""
+    model, _ = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+    return spark.createDataFrame(model.report())
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean, p10_found, p10_topics)}
 
 _WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
 
