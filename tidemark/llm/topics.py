@@ -4,7 +4,8 @@ The model is LDA with one topic per sentence: a document draws topic proportions
 draws a topic from them, and the sentence's words come from that topic. It is fitted by variational EM over all documents.
 Each pass sends topics x vocabulary weights to the tasks and returns as many expected counts per task: the vocabulary is
 cut to the most frequent ``VOCABULARY`` words by exact document counts, so neither grows with the corpus. Topics start
-from the words of labelled documents, one for each subject, beside free ones that take greetings and the like.
+from the words of labelled documents, one for each subject and language label, from the sentences most often repeated
+word for word (greetings and the like, one topic each), and from the whole corpus (free topics).
 
 Topics are mapped to subjects through their top terms: a term's evidence is how much more often documents of a subject
 hold it than others, and a topic takes the subject its top terms speak for, or none where they speak for no one. The terms
@@ -31,12 +32,18 @@ from ..session import cut
 from .charform import skeleton
 
 VOCABULARY = 20_000
-FREE_TOPICS = 8
+FREE_TOPICS = 4
+#: Topics that start from one sentence: at most so many, each in at least this share of the documents.
+FIXED_TOPICS, FIXED_SHARE = 48, 0.004
+#: Words of labelled documents that a topic needs to start from.
+LEAST_WORDS = 60
 PASSES = 6
 TOP_TERMS = 30
-LEAST_EVIDENCE = 0.7
+LEAST_EVIDENCE = 0.9
+#: Weight, in documents, of the belief that a term speaks for no subject.
+DOUBT = 5.0
 SHARE = 0.125
-ALPHA, ETA = 0.2, 0.02
+ALPHA, ETA = 0.05, 0.02
 
 _SENTENCE = re.compile(r"(?<=[.!?।])\s+|\n+|</?\w+>")
 _WORD = re.compile(r"(?:[^\W\d_]|[ऀ-ॣ])+")
@@ -96,14 +103,14 @@ class TopicModel:
         return pd.DataFrame({"topic": range(len(self.subject_of)), "subject": self.subject_of, "evidence": np.round(self.evidence.max(1), 3), "top_terms": [" ".join(t) for t in self.top_terms]})
 
 
-def _parsed(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, words by sentence), all sentences counted, those without known words too."""
+def _parsed(df: DataFrame, id_col: str, text: str, group: str) -> DataFrame:
+    """(id, words by sentence, group), all sentences counted, those without known words too."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"id": frame["id"], "sentences": [[" ".join(w) for w in sentences(t)] for t in frame["text"]]})
+            yield pd.DataFrame({"id": frame["id"], "sentences": [[" ".join(w) for w in sentences(t)] for t in frame["text"]], "part": frame["part"]})
 
-    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), skeleton(F.col(text)).alias("text")).mapInPandas(run, "id long, sentences array<string>")
+    return df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), skeleton(F.col(text)).alias("text"), F.coalesce(F.col(group).cast("string"), F.lit("")).alias("part")).mapInPandas(run, "id long, sentences array<string>, part string")
 
 
 def _numbered(parsed: DataFrame, vocabulary: list[str]) -> DataFrame:
@@ -118,9 +125,9 @@ def _numbered(parsed: DataFrame, vocabulary: list[str]) -> DataFrame:
                 words.append([a for a, _ in pairs])
                 where.append([b for _, b in pairs])
                 n.append(len(doc or []))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(words, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int32()))], names=["id", "n", "words", "place"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(words, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int32()))], names=["id", "n", "words", "place"]).append_column("part", batch.column(2))
 
-    return parsed.mapInArrow(run, "id long, n int, words array<int>, place array<int>")
+    return parsed.mapInArrow(run, "id long, n int, words array<int>, place array<int>, part string")
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,25 +160,43 @@ def _normed(counts: np.ndarray) -> np.ndarray:
     return np.log(phi / phi.sum(0)).astype(np.float32)
 
 
-def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", subject: str = "subject", passes: int = PASSES, free: int = FREE_TOPICS, seed: int = 11) -> tuple[TopicModel, DataFrame]:
+def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", subject: str = "subject", group: str = "lang", passes: int = PASSES, free: int = FREE_TOPICS, seed: int = 11) -> tuple[TopicModel, DataFrame]:
     """The model and the numbered documents it was fitted on."""
-    parsed = cut(_parsed(documents, id_col, text), "sentences")
+    parsed = cut(_parsed(documents, id_col, text, group), "sentences")
+    n_docs = parsed.count()
     held = parsed.select("id", F.explode(F.array_distinct(F.split(F.array_join("sentences", " "), " "))).alias("w")).where("w <> ''")
     counted = held.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(VOCABULARY).toPandas()
     vocabulary = counted["w"].tolist()
+    number = {w: i for i, w in enumerate(vocabulary)}
     numbered = cut(_numbered(parsed, vocabulary), "numbered")
     rated = labels.where(F.col(id_col).isNotNull() & F.col(subject).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(subject).alias("subject"))
     rated = rated.groupBy("id", "subject").agg(F.count("*").alias("c"))
     share = rated.join(rated.groupBy("id").agg(F.sum("c").alias("all")), "id").select("id", "subject", (F.col("c") / F.col("all")).alias("p"))
-    tally = numbered.join(share, "id").select("subject", "p", F.explode("words").alias("w")).groupBy("subject", "w").agg(F.sum("p").alias("n")).toPandas()
+    labelled = numbered.join(share, "id")
+    parts = [r[0] for r in labelled.groupBy("part").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "part").limit(8).collect()]
+    tally = labelled.select("subject", F.when(F.col("part").isin(parts), F.col("part")).otherwise("").alias("part"), "p", F.explode("words").alias("w")).groupBy("subject", "part", "w").agg(F.sum("p").alias("n")).toPandas()
     subjects = sorted(tally["subject"].unique().tolist())
     by = np.zeros((len(vocabulary), len(subjects)))
-    by[tally["w"].to_numpy(int), np.searchsorted(subjects, tally["subject"]) if len(tally) else []] = tally["n"]
-    rng = np.random.default_rng(seed)
+    seeds = []
+    for (s, _), rows in tally.groupby(["subject", "part"]):
+        counts = np.zeros(len(vocabulary))
+        counts[rows["w"].to_numpy(int)] = rows["n"]
+        by[:, subjects.index(s)] += counts
+        if counts.sum() >= LEAST_WORDS:
+            seeds.append(counts / counts.sum())
+    repeated = parsed.select(F.explode("sentences").alias("s"))
+    often = [r[0] for r in repeated.groupBy(F.xxhash64("s").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= max(3.0, n_docs * FIXED_SHARE)).orderBy(F.desc("n"), "h").limit(FIXED_TOPICS).collect()]
     overall = counted["n"].to_numpy(float)
     overall /= max(1.0, overall.sum())
-    start = np.concatenate([by / np.maximum(1, by.sum(0)), overall[:, None] * rng.gamma(2.0, 0.5, (len(vocabulary), free))], axis=1)
-    logphi = np.log(np.maximum(start, 0) / np.maximum(1e-12, start.sum(0)) + 1e-6).astype(np.float32)
+    for (sentence,) in repeated.where(F.xxhash64("s").isin(often)).distinct().orderBy("s").collect() if often else []:
+        words = [number[w] for w in sentence.split(" ") if w in number]
+        if words:
+            counts = np.bincount(words, minlength=len(vocabulary)).astype(float)
+            seeds.append(0.98 * counts / counts.sum() + 0.02 * overall)
+    rng = np.random.default_rng(seed)
+    seeds += [overall * rng.gamma(2.0, 0.5, len(vocabulary)) for _ in range(free)]
+    start = np.stack(seeds, axis=1) if vocabulary else np.zeros((0, 1))
+    logphi = np.log(start / np.maximum(1e-12, start.sum(0)) + 1e-6).astype(np.float32)
     kinds = "topic int, counts array<double>"
     for _ in range(passes if vocabulary else 0):
         summed = numbered.mapInArrow(_expected(logphi), kinds).select("topic", F.posexplode("counts").alias("w", "n")).where("n > 1e-6").groupBy("topic", "w").agg(F.sum("n").alias("n")).toPandas()
@@ -186,16 +211,15 @@ def _mapped(vocabulary: list[str], logphi: np.ndarray, subjects: list[str], by:
     k = logphi.shape[1]
     if not subjects or not vocabulary:
         return TopicModel(vocabulary, logphi, subjects, [None] * k, [[] for _ in range(k)], np.zeros((k, max(1, len(subjects)))))
-    share = (by + 0.5) / (by.sum(0) + 0.5 * len(vocabulary))
-    others = (by.sum(1, keepdims=True) - by + 0.5) / (by.sum() - by.sum(0) + 0.5 * len(vocabulary))
-    odds = np.log(share / others)
+    base = by.sum(0) / by.sum()
+    odds = np.log((by + DOUBT * base) / (by.sum(1, keepdims=True) + DOUBT) / base)
     phi = np.exp(logphi)
-    # A top term is frequent in the topic and rarer elsewhere.
-    weight = phi * np.log(phi / np.maximum(phi.mean(1, keepdims=True), 1e-12))
+    # A top term is frequent in the topic and rare in others; words that all topics of a language share are not.
+    weight = phi * np.maximum(0, np.log(phi / np.maximum(phi.mean(1, keepdims=True), 1e-12))) ** 3
     evidence, terms, of = np.zeros((k, len(subjects))), [], []
     for t in range(k):
         top = np.argsort(-weight[:, t], kind="stable")[:TOP_TERMS]
-        w = np.maximum(weight[top, t], 0)
+        w = weight[top, t]
         evidence[t] = (odds[top] * w[:, None]).sum(0) / max(1e-12, w.sum())
         terms.append([vocabulary[i] for i in top])
         best = int(evidence[t].argmax())
