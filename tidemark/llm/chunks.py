@@ -20,6 +20,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,6 +85,18 @@ def _values(batch: pa.RecordBatch) -> np.ndarray:
     return cut_chunks(batch.column(0))[1]
 
 
+def _word_bits(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every text, a bit for each distinct word, 64 in all, and the number of distinct words."""
+    row, word, _ = cut_chunks(texts, ends=16)
+    by = np.lexsort((word, row))
+    row, word = row[by], word[by]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
+    bits = np.zeros(len(texts), np.uint64)
+    np.bitwise_or.at(bits, row[new], np.uint64(1) << (word[new].view(np.uint64) >> np.uint64(58)))
+    return bits.view(np.int64), np.bincount(row[new], minlength=len(texts))
+
+
 def _prefixes(hashes: np.ndarray, ranks: np.ndarray, coverage: Fraction):
     """(key, text) -> the chunks of the record's prefix, with the record's bytes and those before the chunk in the order."""
     num, den = coverage.numerator, coverage.denominator
@@ -98,20 +111,29 @@ def _prefixes(hashes: np.ndarray, ranks: np.ndarray, coverage: Fraction):
             new[1:] = (row[1:] != row[:-1]) | (chunk[1:] != chunk[:-1])
             row, chunk, size = row[new], chunk[new], size[new]
             total = np.bincount(row, size, len(key)).astype(np.int64)
+            bits, n_words = _word_bits(batch.column(1))
             start = np.concatenate([[0], np.cumsum(total)[:-1]]) if len(total) else np.empty(0, np.int64)
             before = np.cumsum(size) - size - start[row]
             keep = den * (total[row] - before) >= num * total[row]
-            yield pa.RecordBatch.from_arrays([pa.array(chunk[keep]), pa.array(key[row[keep]]), pa.array(total[row[keep]].astype(np.int32)), pa.array(before[keep].astype(np.int32)), pa.array(size[keep].astype(np.int32))], names=["chunk", "key", "total", "before", "size"])
+            at = row[keep]
+            columns = {"chunk": chunk[keep], "key": key[at], "total": total[at].astype(np.int32), "before": before[keep].astype(np.int32), "size": size[keep].astype(np.int32), "bits": bits[at], "words": n_words[at].astype(np.int32)}
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
     return run
 
 
-POSTING = "chunk long, key long, total int, before int, size int"
+POSTING = "chunk long, key long, total int, before int, size int, bits long, words int"
+
 
+def _rows(df: DataFrame, id_col: str, tag_col: str, text: str, seq: str) -> DataFrame:
+    rows = df.where(F.col(id_col).isNotNull() & F.col(text).isNotNull())
+    return rows.select(F.col(seq).cast("long").alias("seq"), F.col(id_col).alias("id"), F.col(tag_col).alias("tag"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
 
-def _records(df: DataFrame, id_col: str, tag_col: str, text: str, seq: str) -> DataFrame:
-    rows = df.where(F.col(id_col).isNotNull() & F.col(text).isNotNull()).select(F.col(seq).cast("long").alias("seq"), F.col(id_col).alias("id"), F.col(tag_col).alias("tag"), comparable(F.col(text)).alias("text"))
-    return rows.withColumn("key", F.xxhash64("text"))
+
+def _texts(rows: DataFrame) -> DataFrame:
+    """(key, text in comparable form) of every distinct text."""
+    one = rows.groupBy("key").agg(F.first("text").alias("text"))
+    return one.select("key", comparable(F.col("text")).alias("text")).where("text <> ''")
 
 
 def _first_two(seen: DataFrame) -> DataFrame:
@@ -123,55 +145,70 @@ def _first_two(seen: DataFrame) -> DataFrame:
 
 
 class ChunkTable:
-    """The persistent chunk-to-record table of one collection, in the shared folder."""
+    """The persistent chunk-to-record table of one collection, in the shared folder.
+
+    ``postings`` is a bucketed table: a batch's chunks are sent to the buckets, and the table itself is never shuffled.
+    ``texts`` has each distinct text once, ``records`` the rows by (id, tag, seq) and the key of their text.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE):
-        self.spark, self.path, self.coverage = spark, path, coverage
+    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int = BUCKETS):
+        self.spark, self.path, self.coverage, self.buckets = spark, path, coverage, buckets
+        self.name = f"chunks_{xxhash.xxh64_hexdigest(path)}"
 
     @classmethod
-    def begin(cls, history: DataFrame, id_col: str, tag_col: str, text: str, seq: str, path: str | None = None, coverage: Fraction = COVERAGE) -> ChunkTable:
+    def begin(cls, history: DataFrame, id_col: str, tag_col: str, text: str, seq: str, path: str | None = None, **options) -> ChunkTable:
         """A new table holding ``history``."""
-        self = cls(history.sparkSession, path or scratch(history.sparkSession, "chunks"), coverage)
-        rows = _records(history, id_col, tag_col, text, seq)
-        rows.write.parquet(f"{self.path}/records")
-        rows = self._read("records")
-        hashes, ranks = order.frequent_tokens(rows.select("text"), values=_values)
-        self.spark.createDataFrame(list(zip(hashes.tolist(), ranks.tolist())), "chunk long, rank long").coalesce(1).write.parquet(f"{self.path}/order")
-        self._append(rows)
+        self = cls(history.sparkSession, path or scratch(history.sparkSession, "chunks"), **options)
+        rows = _rows(history, id_col, tag_col, text, seq)
+        self._write(rows.drop("text"), "records")
+        self._write(_texts(rows), "texts")
+        hashes, ranks = order.frequent_tokens(self._read("texts").select("text"), values=_values)
+        self._write(self.spark.createDataFrame(list(zip(hashes.tolist(), ranks.tolist())), "chunk long, rank long").coalesce(1), "order")
+        self._append(self._postings(self._read("texts")))
         return self
 
     def _read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}")
 
+    def _write(self, df: DataFrame, name: str) -> None:
+        df.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
+
     def _order(self) -> tuple[np.ndarray, np.ndarray]:
         found = self._read("order").toPandas().sort_values("chunk")
         return found["chunk"].to_numpy(np.int64), found["rank"].to_numpy(np.int64)
 
-    def _postings(self, rows: DataFrame) -> DataFrame:
-        texts = rows.where("text <> ''").groupBy("key").agg(F.first("text").alias("text"))
+    def _postings(self, texts: DataFrame) -> DataFrame:
         return texts.select("key", "text").mapInArrow(_prefixes(*self._order(), self.coverage), POSTING)
 
-    def _append(self, rows: DataFrame) -> None:
-        bucket = F.pmod("chunk", F.lit(BUCKETS)).alias("bucket")
-        self._postings(rows).select("*", bucket).repartition(BUCKETS, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
+    def _append(self, postings: DataFrame) -> None:
+        postings.repartition(self.buckets, "chunk").write.mode("append").option("path", f"{self.path}/postings").option("compression", "zstd").format("parquet").bucketBy(self.buckets, "chunk").saveAsTable(self.name)
 
     def check(self, batch: DataFrame, id_col: str, tag_col: str, text: str, seq: str, num: int = 7, den: int = 10) -> DataFrame:
         """(seq, dup_kind) of the batch's repeats, after which the batch belongs to the history. Several batches may be given as one: rows are ordered by ``seq``."""
-        new = cut(_records(batch, id_col, tag_col, text, seq), "batch")
+        rows = cut(_rows(batch, id_col, tag_col, text, seq), "batch")
+        texts = cut(_texts(rows), "batch_texts")
+        new = rows.drop("text")
         known = self._read("records").unionByName(new)
-        fresh = cut(self._postings(new), "fresh")
+        fresh = cut(self._postings(texts), "fresh")
         up, lo = self.coverage.numerator, self.coverage.denominator
-        p = fresh.select("chunk", F.col("key").alias("x"), F.col("total").alias("xt"), F.col("before").alias("xb"))
-        i = self._read("postings").drop("bucket").unionByName(fresh).select("chunk", F.col("key").alias("y"), F.col("total").alias("yt"), F.col("before").alias("yb"), "size").dropDuplicates(["chunk", "y"])
-        met = p.join(i, "chunk").where(f"x <> y AND least(xt - xb, yt - yb) * {lo} >= {up} * greatest(xt, yt)")
-        shared = met.groupBy("x", "y").agg(F.sum("size").alias("shared"), F.max(F.struct("xb", "yb", "size")).alias("last"), F.first("xt").alias("xt"), F.first("yt").alias("yt"))
-        near = cut(shared.where(f"(shared + least(xt - last.xb, yt - last.yb) - last.size) * {lo} >= {up} * greatest(xt, yt)").select("x", "y"), "near")
+        p = fresh.select("chunk", F.col("key").alias("x"), F.col("total").alias("xt"), F.col("before").alias("xb"), F.col("bits").alias("xw"), F.col("words").alias("xn"))
+        # Words of which only one text has any have bits that differ; most chance meetings end here, in the join.
+        apart = f"(xn + yn - bit_count(xw ^ yw)) * {num + den} >= {2 * num} * (xn + yn)"
+
+        def meet(postings: DataFrame) -> DataFrame:
+            i = postings.select("chunk", F.col("key").alias("y"), F.col("total").alias("yt"), F.col("before").alias("yb"), F.col("bits").alias("yw"), F.col("words").alias("yn"), "size")
+            met = p.join(i, "chunk").where(f"x <> y AND least(xt - xb, yt - yb) * {lo} >= {up} * greatest(xt, yt) AND {apart}")
+            shared = met.groupBy("x", "y").agg(F.sum("size").alias("shared"), F.max("xb").alias("xb"), F.max("yb").alias("yb"), F.first("xt").alias("xt"), F.first("yt").alias("yt"))
+            # All from the last shared chunk on may still be shared.
+            return shared.where(f"(shared + least(xt - xb, yt - yb)) * {lo} >= {up} * greatest(xt, yt)").select("x", "y")
+
+        near = cut(meet(self.spark.table(self.name)).unionByName(meet(fresh)), "near").distinct()
         wanted = near.select(F.explode(F.array("x", "y")).alias("key")).distinct()
-        texts = known.select("key", "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
-        sets = texts.select("key", F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.xxhash64(w)).alias("w"))
+        found = self._read("texts").unionByName(texts).join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+        sets = found.select("key", F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.xxhash64(w)).alias("w"))
         pairs = near.join(sets.select(F.col("key").alias("x"), F.col("w").alias("wx")), "x").join(sets.select(F.col("key").alias("y"), F.col("w").alias("wy")), "y")
         pairs = pairs.withColumn("both", F.size(F.array_intersect("wx", "wy"))).where(f"both * {num + den} >= {num} * (size(wx) + size(wy))").select("x", "y")
-        own = new.where("text <> ''").select(F.col("key").alias("x"), F.col("key").alias("y")).distinct()
+        own = texts.select(F.col("key").alias("x"), F.col("key").alias("y"))
         alike = cut(pairs.unionByName(own), "alike")
         # Of all records alike to x, only the earliest and the earliest of another id can decide.
         mine = alike.select(F.col("y").alias("key")).distinct()
@@ -179,10 +216,14 @@ class ChunkTable:
         entries = alike.join(seen.withColumnRenamed("key", "y"), "y").select(F.col("x").alias("key"), F.explode(F.array("first", "second")).alias("e")).where("e IS NOT NULL").select("key", "e.id", "e.seq")
         decided = _first_two(entries)
         by_text = new.join(decided, "key", "left").select("seq", F.expr("CASE WHEN first.id <> id THEN first.seq < seq ELSE coalesce(second.seq < seq, false) END").alias("text_dup"))
-        pair_first = known.where("tag IS NOT NULL").groupBy("id", "tag").agg(F.min("seq").alias("since"))
-        by_id = new.where("tag IS NOT NULL").join(pair_first, ["id", "tag"]).select("seq", (F.col("since") < F.col("seq")).alias("id_dup"))
+        tagged = new.where("tag IS NOT NULL")
+        since = known.join(tagged.select("id").distinct(), "id", "left_semi").groupBy("id", "tag").agg(F.min("seq").alias("since"))
+        by_id = tagged.join(since, ["id", "tag"]).select("seq", (F.col("since") < F.col("seq")).alias("id_dup"))
         out = by_text.join(by_id, "seq", "left").select("seq", F.expr("CASE WHEN id_dup THEN 'id' WHEN text_dup THEN 'text' END").alias("dup_kind")).where("dup_kind IS NOT NULL")
         out = cut(out, "verdicts")
-        new.write.mode("append").parquet(f"{self.path}/records")
-        fresh.select("*", F.pmod("chunk", F.lit(BUCKETS)).alias("bucket")).repartition(BUCKETS, "bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
+        unseen = texts.join(self._read("texts").select("key"), "key", "left_anti").select("key")
+        unseen = cut(unseen, "unseen")
+        self._write(new, "records")
+        self._write(texts.join(unseen, "key", "left_semi"), "texts")
+        self._append(fresh.join(unseen, "key", "left_semi"))
         return out
