@@ -60,5 +60,5 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: what follows no longer depends on executors that computed it."""
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
