@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import charform, chunks, cooccur, fragments, language, leaks, lookalike, packing, topics
+from . import charform, chunks, cooccur, fragments, language, leaks, lookalike, packing, pii, topics
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +41,16 @@ def p2_incremental(spark: SparkSession, d: str) -> DataFrame:
     return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    finder = pii.Finder(pii.known_names(table(spark, d, "name_parts")))
+    return finder.values(table(spark, d, "tweets"), "tweet_id", "text").select(F.col("id").alias("tweet_id"), "pii_type", "pii_text")
+
+
+def p3_masked(spark: SparkSession, d: str) -> DataFrame:
+    finder = pii.Finder(pii.known_names(table(spark, d, "name_parts")))
+    return finder.masked(table(spark, d, "tweets").select("rec_id", "text"), "text")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     model = language.fit_samples(table(spark, d, "lang_samples"))
     hint = language.hint_form(F.col("lang_hint")).alias("hint")
@@ -103,7 +113,7 @@ def p10_topics(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(model.report())
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean, p10_found, p10_topics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p3_found, p3_masked, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean, p10_found, p10_topics)}
 
 _WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
 
