@@ -41,6 +41,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 
 def cut_chunks(texts: pa.StringArray, window: int = WINDOW, ends: int = ENDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, chunk hash, bytes) of every chunk of an array of non-null texts, words separated by single blanks."""
+    if not len(texts):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     off = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[off[0] : off[-1]]
     off = off - off[0]

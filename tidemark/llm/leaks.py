@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fresh_name
 from . import order
 from .charform import FROM, TO, skeleton
 
@@ -130,7 +131,8 @@ def _spans(text: str) -> list[tuple[str, int, int]]:
 
 def without_passages(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
     """``documents`` with every passage of ``n`` or more item words cut out of ``text``. Only documents with a leak are rewritten; items must be few enough to send."""
-    hit = leaked(documents, items, doc_id, n=n).select(F.col("doc_id").alias("tm_doc")).distinct()
+    key = fresh_name(documents, "tm_doc")
+    hit = leaked(documents, items, doc_id, n=n).select(F.col("doc_id").alias(key)).distinct()
     grams = set()
     for (item,) in items.select("text").toLocalIterator():
         w = [x[0] for x in _spans(item or "")]
@@ -157,6 +159,6 @@ def without_passages(documents: DataFrame, items: DataFrame, doc_id: str = "doc_
 
         return texts.map(one)
 
-    keyed = documents.withColumn("tm_doc", F.col(doc_id).cast("long"))
-    clean = keyed.join(hit, "tm_doc", "left_semi").withColumn(text, strip(F.col(text)))
-    return keyed.join(hit, "tm_doc", "left_anti").unionByName(clean).drop("tm_doc")
+    keyed = documents.withColumn(key, F.col(doc_id).cast("long"))
+    clean = keyed.join(hit, key, "left_semi").withColumn(text, strip(F.col(text)))
+    return keyed.join(hit, key, "left_anti").unionByName(clean).drop(key)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import fresh_name
 from .charform import NON_ASCII, lookalikes
 
 
@@ -53,9 +54,10 @@ def look_classes(df: DataFrame, text: str = "text", keep: list[str] | None = Non
 def canonical_forms(df: DataFrame, text: str = "text", out: str = "canonical_text") -> DataFrame:
     """``df`` with the canonical text of each row's class in ``out``."""
     forms, _ = look_classes(df, text)
-    better = forms.where("form_id <> class_id").select(F.col("form_id").alias("tm_id"), F.col("canonical_text").alias("tm_canonical"))
-    joined = df.withColumn("tm_id", F.xxhash64(text)).join(better, "tm_id", "left")
-    return joined.withColumn(out, F.coalesce("tm_canonical", text)).drop("tm_id", "tm_canonical")
+    key, best = fresh_name(df, "tm_id"), fresh_name(df, "tm_canonical")
+    better = forms.where("form_id <> class_id").select(F.col("form_id").alias(key), F.col("canonical_text").alias(best))
+    joined = df.withColumn(key, F.xxhash64(text)).join(better, key, "left")
+    return joined.withColumn(out, F.coalesce(best, text)).drop(key, best)
 
 
 def lookalike_pairs(df: DataFrame, id_col: str, text: str = "text") -> DataFrame:
