@@ -19,6 +19,7 @@ from ..session import scratch
 from .charform import NON_ASCII, WIDTH_FROM, WIDTH_TO, nfc
 
 BUCKETS = 16
+PAIRS = "tag_a string, tag_b string, n long, n_a long, n_b long, association double, bucket int"
 #: Baskets of at most so many tags expand in place; larger ones take the join.
 IN_PLACE = 64
 
@@ -54,7 +55,8 @@ class PairTable:
         self.spark, self.path, self.version = spark, path or scratch(spark, "pairs"), version
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/v{self.version}/{name}")
+        reader = self.spark.read.schema(PAIRS) if name == "pairs" else self.spark.read
+        return reader.parquet(f"{self.path}/v{self.version}/{name}")
 
     def apply(self, changed: DataFrame) -> PairTable:
         """The table after ``changed`` (id, tags), which replaces the baskets it names."""

@@ -141,7 +141,7 @@ def _examples(samples: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return out
 
 
-def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = 0.05, l2: float = 0.2, epochs: int = 8, seed: int = 7) -> LanguageModel:
+def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = 0.2, l2: float = 0.2, epochs: int = 8, seed: int = 7) -> LanguageModel:
     """FTRL-proximal over (language, text), then the temperature by held-out likelihood on every fifth sample."""
     samples = sorted((a, b) for a, b in samples if a and b)[:MOST_SAMPLES]
 

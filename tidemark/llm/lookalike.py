@@ -2,7 +2,7 @@
 
 Texts are mapped by ``charform.lookalikes`` and grouped, in SQL, under Spark's accent- and case-sensitive ``UNICODE``
 collation, which equates canonically equivalent sequences and ignores invisible characters. The canonical member of a
-class is its member with the fewest characters outside ASCII, then the smallest by code point; it is joined back.
+class is its member with the fewest characters outside ASCII, separate accents counting twice, then the smallest by code point; it is joined back.
 
 Collation sorts are dear, so rows are first blocked by a hash of their mapped letters and digits, which texts of one
 class share; only blocks with two different texts go on. Copies of a text are one form, so a hot text costs one row.
@@ -39,7 +39,7 @@ def look_classes(df: DataFrame, text: str = "text", keep: list[str] | None = Non
     blocks = rows.groupBy("tm_block").agg(F.min("form_id").alias("lo"), F.max("form_id").alias("hi")).where("lo <> hi").select("tm_block")
     rows = rows.join(blocks, "tm_block", "left_semi")
     forms = rows.groupBy("form_id").agg(F.first("tm_form").alias("form"))
-    forms = forms.withColumn("mapped", _mapped(F.col("form"))).withColumn("cost", F.length(F.regexp_replace("form", r"[\x00-\x7F]+", "")))
+    forms = forms.withColumn("mapped", _mapped(F.col("form"))).withColumn("cost", F.length(F.regexp_replace("form", r"[\x00-\x7F]+", "")) + F.length(F.regexp_replace("form", r"[^\u0300-\u036F]+", "")))
     forms = spark.sql(
         """WITH classes AS (
              SELECT mapped COLLATE UNICODE AS look, min(struct(cost, form, form_id)) AS best

@@ -39,7 +39,8 @@ FIXED_TOPICS, FIXED_SHARE = 48, 0.004
 LEAST_WORDS = 60
 PASSES = 6
 TOP_TERMS = 30
-LEAST_EVIDENCE = 0.9
+#: Share of the most evidence there can be for a subject that a topic needs.
+LEAST_EVIDENCE = 0.4
 #: Weight, in documents, of the belief that a term speaks for no subject.
 DOUBT = 5.0
 SHARE = 0.125
@@ -223,7 +224,7 @@ def _mapped(vocabulary: list[str], logphi: np.ndarray, subjects: list[str], by:
         evidence[t] = (odds[top] * w[:, None]).sum(0) / max(1e-12, w.sum())
         terms.append([vocabulary[i] for i in top])
         best = int(evidence[t].argmax())
-        of.append(subjects[best] if evidence[t, best] >= LEAST_EVIDENCE else None)
+        of.append(subjects[best] if evidence[t, best] >= LEAST_EVIDENCE * -np.log(min(base[best], 0.9)) else None)
     return TopicModel(vocabulary, logphi, subjects, of, terms, evidence)
 
 
