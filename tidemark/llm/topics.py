@@ -40,7 +40,7 @@ LEAST_WORDS = 60
 PASSES = 6
 TOP_TERMS = 30
 #: Share of the most evidence there can be for a subject that a topic needs.
-LEAST_EVIDENCE = 0.4
+LEAST_EVIDENCE = 0.38
 #: Weight, in documents, of the belief that a term speaks for no subject.
 DOUBT = 5.0
 SHARE = 0.125
