@@ -132,9 +132,15 @@ def _rows(df: DataFrame, id_col: str, tag_col: str, text: str, seq: str) -> Data
     return rows.select(F.col(seq).cast("long").alias("seq"), F.col(id_col).alias("id"), F.col(tag_col).alias("tag"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
 
 
-def _texts(rows: DataFrame) -> DataFrame:
-    """(key, text in comparable form) of every distinct text."""
-    one = rows.groupBy("key").agg(F.first("text").alias("text"))
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each key of a batch once, so that a hot text doesn't travel by the row."""
+    for batch in batches:
+        yield batch.take(pa.array(np.sort(np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)[1])))
+
+
+def _texts(rows: DataFrame, buckets: int) -> DataFrame:
+    """(key, text in comparable form) of every distinct text, laid out by key in ``buckets`` parts."""
+    one = rows.select("key", "text").mapInArrow(_once, "key long, text string").repartition(buckets, "key").groupBy("key").agg(F.first("text").alias("text"))
     return one.select("key", comparable(F.col("text")).alias("text")).where("text <> ''")
 
 
@@ -149,12 +155,14 @@ def _first_two(seen: DataFrame) -> DataFrame:
 class ChunkTable:
     """The persistent chunk-to-record table of one collection, in the shared folder.
 
-    ``postings`` is a bucketed table: a batch's chunks are sent to the buckets, and the table itself is never shuffled.
-    ``texts`` has each distinct text once, ``records`` the rows by (id, tag, seq) and the key of their text.
+    ``postings`` and ``texts`` (each distinct text once) are bucketed tables: a batch's chunks and keys are sent to the
+    buckets, and the tables themselves are never shuffled. ``records`` has the rows by (id, tag, seq) and their text's key.
     """
 
-    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int = BUCKETS):
-        self.spark, self.path, self.coverage, self.buckets = spark, path, coverage, buckets
+    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int | None = None):
+        self.spark, self.path, self.coverage = spark, path, coverage
+        # With fewer buckets than shuffle partitions Spark would shuffle the tables after all.
+        self.buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.name = f"chunks_{xxhash.xxh64_hexdigest(path)}"
 
     @classmethod
@@ -163,13 +171,19 @@ class ChunkTable:
         self = cls(history.sparkSession, path or scratch(history.sparkSession, "chunks"), **options)
         rows = _rows(history, id_col, tag_col, text, seq)
         self._write(rows.drop("text"), "records")
-        self._write(_texts(rows), "texts")
+        self._bucketed(_texts(rows, self.buckets), "texts", "key")
         hashes, ranks = order.frequent_tokens(self._read("texts").select("text"), values=_values)
         self._write(self.spark.createDataFrame(list(zip(hashes.tolist(), ranks.tolist())), "chunk long, rank long").coalesce(1), "order")
         self._append(self._postings(self._read("texts")))
         return self
 
+    def _bucketed(self, df: DataFrame, name: str, by: str) -> None:
+        """Append to a table bucketed by ``by``; ``df`` must be laid out that way."""
+        df.write.mode("append").option("path", f"{self.path}/{name}").option("compression", "zstd").format("parquet").bucketBy(self.buckets, by).saveAsTable(f"{self.name}_{name}")
+
     def _read(self, name: str) -> DataFrame:
+        if name in ("texts", "postings"):
+            return self.spark.table(f"{self.name}_{name}")
         return self.spark.read.parquet(f"{self.path}/{name}")
 
     def _write(self, df: DataFrame, name: str) -> None:
@@ -183,12 +197,12 @@ class ChunkTable:
         return texts.select("key", "text").mapInArrow(_prefixes(*self._order(), self.coverage), POSTING)
 
     def _append(self, postings: DataFrame) -> None:
-        postings.repartition(self.buckets, "chunk").write.mode("append").option("path", f"{self.path}/postings").option("compression", "zstd").format("parquet").bucketBy(self.buckets, "chunk").saveAsTable(self.name)
+        self._bucketed(postings.repartition(self.buckets, "chunk"), "postings", "chunk")
 
     def check(self, batch: DataFrame, id_col: str, tag_col: str, text: str, seq: str, num: int = 7, den: int = 10) -> DataFrame:
         """(seq, dup_kind) of the batch's repeats, after which the batch belongs to the history. Several batches may be given as one: rows are ordered by ``seq``."""
         rows = cut(_rows(batch, id_col, tag_col, text, seq), "batch")
-        texts = cut(_texts(rows), "batch_texts")
+        texts = cut(_texts(rows, self.buckets), "batch_texts")
         new = rows.drop("text")
         known = self._read("records").unionByName(new)
         fresh = cut(self._postings(texts), "fresh")
@@ -204,9 +218,10 @@ class ChunkTable:
             # All from the last shared chunk on may still be shared.
             return shared.where(f"(shared + least(xt - xb, yt - yb)) * {lo} >= {up} * greatest(xt, yt)").select("x", "y")
 
-        near = cut(meet(self.spark.table(self.name)).unionByName(meet(fresh)), "near").distinct()
+        near = cut(meet(self._read("postings")).unionByName(meet(fresh)), "near").distinct()
         wanted = near.select(F.explode(F.array("x", "y")).alias("key")).distinct()
-        found = self._read("texts").unionByName(texts).join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+        known_texts = self._read("texts").join(wanted, "key", "left_semi")
+        found = known_texts.unionByName(texts.join(wanted, "key", "left_semi").join(known_texts.select("key"), "key", "left_anti"))
         sets = found.select("key", F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.xxhash64(w)).alias("w"))
         pairs = near.join(sets.select(F.col("key").alias("x"), F.col("w").alias("wx")), "x").join(sets.select(F.col("key").alias("y"), F.col("w").alias("wy")), "y")
         pairs = pairs.withColumn("both", F.size(F.array_intersect("wx", "wy"))).where(f"both * {num + den} >= {num} * (size(wx) + size(wy))").select("x", "y")
@@ -226,6 +241,6 @@ class ChunkTable:
         unseen = texts.join(self._read("texts").select("key"), "key", "left_anti").select("key")
         unseen = cut(unseen, "unseen")
         self._write(new, "records")
-        self._write(texts.join(unseen, "key", "left_semi"), "texts")
+        self._bucketed(texts.join(unseen, "key", "left_semi").repartition(self.buckets, "key"), "texts", "key")
         self._append(fresh.join(unseen, "key", "left_semi"))
         return out
