@@ -45,6 +45,8 @@ LEAST_EVIDENCE = 0.38
 DOUBT = 5.0
 SHARE = 0.125
 ALPHA, ETA = 0.05, 0.02
+#: Topic weights of a sentence below this are not counted in a pass.
+LEAST_WEIGHT = 1e-3
 
 _SENTENCE = re.compile(r"(?<=[.!?।])\s+|\n+|</?\w+>")
 _WORD = re.compile(r"(?:[^\W\d_]|[ऀ-ॣ])+")
@@ -148,9 +150,15 @@ def _expected(logphi: np.ndarray):
             for at in range(0, batch.num_rows, 1000):
                 words, sentence, document = _flat(batch.slice(at, 1000))
                 if len(words):
-                    r = infer(logphi, words, sentence, document)[sentence]
-                    for k in range(logphi.shape[1]):
-                        total[:, k] += np.bincount(words, r[:, k], len(logphi))
+                    r = infer(logphi, words, sentence, document)
+                    # Most sentences have one or two topics: counts are gathered where there is weight.
+                    at_sentence, topic = np.nonzero(r > LEAST_WEIGHT)
+                    count = np.bincount(at_sentence, minlength=len(r))
+                    first = np.concatenate([[0], np.cumsum(count)[:-1]])
+                    n = count[sentence]
+                    which = np.repeat(first[sentence] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    cell = np.repeat(words.astype(np.int64), n) * logphi.shape[1] + topic[which]
+                    total += np.bincount(cell, r[at_sentence[which], topic[which]], logphi.size).reshape(logphi.shape)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(logphi.shape[1], dtype=np.int32)), pa.array(total.T.tolist(), pa.list_(pa.float64()))], names=["topic", "counts"])
 
     return run
