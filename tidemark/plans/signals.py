@@ -15,7 +15,7 @@ from ..functions import text as T
 from ..operators import dedup, features, sampling, signal, store, tfidf
 from ..session import scratch, table
 from ..sources import records
-from ..streaming import sealed
+from ..streaming import history, sealed
 
 NOW = datetime(2026, 1, 7, tzinfo=timezone.utc)
 HOURLY = replace(Settings(), bucket_minutes=60, filter_market_hours=False)
@@ -213,6 +213,18 @@ def ingest_metrics(spark: SparkSession, d: str) -> DataFrame:
     return sealed.ingest_metrics(log)
 
 
+def signal_series(spark: SparkSession, d: str) -> DataFrame:
+    return history.signal_series(table(spark, d, "signal_buckets"))
+
+
+def volume_series(spark: SparkSession, d: str) -> DataFrame:
+    return history.volume_series(table(spark, d, "signal_buckets"))
+
+
+def engagement_sample(spark: SparkSession, d: str) -> DataFrame:
+    return history.engagement_sample(_tweets(spark, d), Settings().reservoir_size, "rec_id").withColumn("mean_engagement", F.round("mean_engagement", 6))
+
+
 def stream_sealed_counts(spark: SparkSession, d: str) -> DataFrame:
     """The tweets as a stream of one file, sealed by its watermark."""
     path, name = scratch(spark, "sealed"), "tm_sealed"
@@ -236,7 +248,7 @@ def stream_signal(spark: SparkSession, d: str) -> DataFrame:
 _FUNCTIONS = (
     clean_text, lang_hint, validate_rejects, valid_records, lookback_filter, dedup_two_tier, dedup_counts, market_hours, bucket_counts, virality_norm, momentum, sentiment_score, sentiment_coverage, composite_signal, signal_analytic_ci,
     signal_bootstrap_ci, signal_summary, tfidf_weights, tfidf_top_terms, tfidf_sparsity, hashtag_mention_extract, parse_count, strip_markup, collection_window, stale_run_cutoff, engagement_distribution, reservoir_sample, display_time_ist,
-    distinct_target, collection_summary, ingest_metrics, stream_sealed_counts, stream_signal,
+    distinct_target, collection_summary, ingest_metrics, signal_series, volume_series, engagement_sample, stream_sealed_counts, stream_signal,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS} | {"rollup_1h": _rollup("1 hour"), "rollup_1d": _rollup("1 day")}
 
@@ -357,6 +369,8 @@ def _oracle() -> dict[str, str]:
         "stale_run_cutoff": _classified(False) + ", r AS (SELECT raw_id, run_file, created_at < TIMESTAMPTZ '2026-01-05 12:00:00+00' AS stale FROM classified WHERE created_at IS NOT NULL), i AS (SELECT *, sum(CASE WHEN stale THEN 0 ELSE 1 END) OVER (PARTITION BY run_file ORDER BY raw_id) AS g FROM r), k AS (SELECT *, sum(stale::INT) OVER (PARTITION BY run_file, g ORDER BY raw_id) AS n FROM i), s AS (SELECT run_file, min(raw_id) AS stop FROM k WHERE n >= 5 GROUP BY ALL) SELECT raw_id, run_file FROM k LEFT JOIN s USING (run_file) WHERE NOT stale AND (stop IS NULL OR raw_id < stop)",
         "engagement_distribution": "SELECT source_hashtag, count(*) AS sample_count, round(avg(coalesce(likes, 0)::BIGINT + coalesce(retweets, 0) + coalesce(replies, 0)), 6) AS mean_engagement FROM tweets GROUP BY ALL",
         "display_time_ist": f"SELECT rec_id, {local} AS shown_at FROM tweets WHERE created_at IS NOT NULL",
+        "signal_series": "SELECT hashtag, bucket_start AT TIME ZONE 'Asia/Kolkata' AS shown_at, composite_signal, ci_lower, ci_upper FROM signal_buckets WHERE composite_signal IS NOT NULL",
+        "volume_series": "SELECT hashtag, bucket_start AT TIME ZONE 'Asia/Kolkata' AS shown_at, sum(tweet_count)::BIGINT AS tweet_count FROM signal_buckets GROUP BY ALL",
         "distinct_target": "WITH f AS (SELECT tweet_id, min(rec_id) AS first_rec FROM tweets GROUP BY ALL ORDER BY first_rec LIMIT 2000) SELECT source_hashtag, count(*) AS n_rows, count(DISTINCT tweet_id) AS distinct_posts FROM tweets WHERE rec_id <= (SELECT max(first_rec) FROM f) GROUP BY ALL",
         "collection_summary": f"SELECT source_hashtag, count(*) AS n_rows, count(DISTINCT tweet_id) AS distinct_posts, min({_ts('created_at')}) AS first_at, max({_ts('created_at')}) AS last_at FROM tweets GROUP BY ALL",
         "ingest_metrics": f"WITH l AS (SELECT source_hashtag, round({lag} * 1000)::BIGINT AS ms, rec_id > min(rec_id) OVER (PARTITION BY tweet_id, source_hashtag) AS dup FROM tweets WHERE created_at IS NOT NULL AND collected_at IS NOT NULL), r AS (SELECT *, row_number() OVER (PARTITION BY source_hashtag ORDER BY ms) - 1 AS k, count(*) OVER (PARTITION BY source_hashtag) - 1 AS last FROM l) SELECT source_hashtag, count(*) AS samples, round((max(ms) FILTER (k = last // 2) + max(ms) FILTER (k = (last + 1) // 2)) / 2000, 3) AS lag_p50, round(max(ms) FILTER (k = round_even(last * 0.95, 0)) / 1000, 3) AS lag_p95, round(avg(dup::INT), 3) AS dedup_hit_rate FROM r GROUP BY ALL",
