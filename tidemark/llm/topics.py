@@ -75,7 +75,7 @@ def _digamma(x: np.ndarray) -> np.ndarray:
     return shift + np.log(x) - 0.5 / x - i * (1 / 12 - i * (1 / 120 - i / 252))
 
 
-def infer(logphi: np.ndarray, words: np.ndarray, sentence: np.ndarray, document: np.ndarray, steps: int = 5) -> np.ndarray:
+def infer(logphi: np.ndarray, words: np.ndarray, sentence: np.ndarray, document: np.ndarray, steps: int = 3) -> np.ndarray:
     """Topic probabilities of every sentence. ``sentence`` is the sentence of each word, ``document`` the document of each sentence, both ascending."""
     starts = np.flatnonzero(np.diff(sentence, prepend=-1))
     like = np.add.reduceat(logphi[words], starts, axis=0)
