@@ -99,7 +99,7 @@ def test_held_out_accuracy_and_sparsity():
     names = {"en": "held firm on thin volume this week", "es": "aguantó bien con poco volumen", "hi": "neeche aa gaya kam volume ke saath", "ru": "стоял на месте перед заседанием"}
     m = language.train(SAMPLES * 3, l1=2.0)
     assert all(m.langs[int(m.scores(t).argmax())] == lang for lang, t in names.items())
-    assert len(m.weights) < len(m.idf) and m.temperature > 0
+    assert m.n_weights < len(m.idf) and m.temperature > 0
 
 
 def test_hint_form(spark):

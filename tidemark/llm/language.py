@@ -78,40 +78,43 @@ def runs(text: str) -> list[tuple[int, int, str, bool]]:
     return out
 
 
-def ngrams(words: str) -> Counter:
-    """Character n-grams of 1 to 4 within blank-padded words."""
-    c: Counter = Counter()
-    for w in words.lower().split():
-        w = f" {w} "
-        for n in (1, 2, 3, 4):
-            for i in range(len(w) - n + 1):
-                c[w[i : i + n]] += 1
-    c.pop(" ", None)
-    return c
+def ngrams(word: str) -> list[str]:
+    """Character n-grams of 1 to 4 of a blank-padded word."""
+    w = f" {word} "
+    return [g for n in (1, 2, 3, 4) for i in range(len(w) - n + 1) if (g := w[i : i + n]) != " "]
 
 
 class LanguageModel:
-    """Weights of the n-grams that the penalties left, idf, biases and the temperature."""
+    """The n-grams with their idf, weights (n-grams x languages, rows of zeros where the penalties left none), biases and the temperature."""
 
-    def __init__(self, langs: list[str], idf: dict[str, float], weights: dict[str, np.ndarray], bias: np.ndarray, temperature: float):
+    def __init__(self, langs: list[str], grams: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float):
         self.langs, self.idf, self.weights, self.bias, self.temperature = langs, idf, weights, bias, temperature
+        self.at = {g: i for i, g in enumerate(grams)}
+        self.words: dict[str, np.ndarray] = {}
         self.verdicts: dict[str, tuple[str, float]] = {}
 
-    def vector(self, words: str) -> tuple[list[str], np.ndarray]:
-        c = ngrams(words)
-        keys = [k for k in c if k in self.idf]
-        v = np.array([(1 + math.log(c[k])) * self.idf[k] for k in keys])
-        return keys, v / (np.sqrt((v * v).sum()) or 1.0)
+    @property
+    def n_weights(self) -> int:
+        return int(np.any(self.weights, axis=1).sum())
+
+    def _ids(self, word: str) -> np.ndarray:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            found = self.words[word] = np.array([self.at[g] for g in ngrams(word) if g in self.at], np.int64)
+        return found
+
+    def vector(self, words: str) -> tuple[np.ndarray, np.ndarray]:
+        """(n-gram numbers, TF-IDF weights of length 1)."""
+        ids, c = np.unique(np.concatenate([self._ids(w) for w in words.lower().split()] or [np.empty(0, np.int64)]), return_counts=True)
+        v = (1 + np.log(c)) * self.idf[ids]
+        return ids, v / (np.sqrt(v @ v) or 1.0)
 
     def scores(self, words: str) -> np.ndarray:
         """Logits before the temperature."""
-        keys, v = self.vector(words)
-        out = self.bias.copy()
-        for k, x in zip(keys, v):
-            w = self.weights.get(k)
-            if w is not None:
-                out += x * w
-        return out
+        ids, v = self.vector(words)
+        return self.bias + v @ self.weights[ids]
 
     def verdict(self, words: str) -> tuple[str, float]:
         """The likeliest language of a statement, and its probability."""
@@ -148,15 +151,15 @@ def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0,
     def fit(part: list[tuple[str, str]]) -> LanguageModel:
         examples = _examples(part)
         langs = sorted({a for a, _ in examples})
-        df = Counter(k for _, w in examples for k in set(ngrams(w)))
-        idf = {k: math.log((1 + len(examples)) / (1 + n)) + 1 for k, n in df.items() if n > 1}
-        model = LanguageModel(langs, idf, {}, np.zeros(len(langs)), 1.0)
-        at = {k: i for i, k in enumerate(idf)}
-        z, q = np.zeros((len(at) + 1, len(langs))), np.zeros((len(at) + 1, len(langs)))
+        df = Counter(g for _, words in examples for g in {g for w in words.lower().split() for g in ngrams(w)})
+        kept = [(g, n) for g, n in df.items() if n > 1]
+        idf = np.array([math.log((1 + len(examples)) / (1 + n)) + 1 for _, n in kept])
+        model = LanguageModel(langs, [g for g, _ in kept], idf, np.zeros((len(kept), len(langs))), np.zeros(len(langs)), 1.0)
+        z, q = np.zeros((len(kept) + 1, len(langs))), np.zeros((len(kept) + 1, len(langs)))
         data = []
         for lang, words in examples:
-            keys, v = model.vector(words)
-            data.append((np.array([*(at[k] for k in keys), len(at)]), np.append(v, 1.0), langs.index(lang)))
+            ids, v = model.vector(words)
+            data.append((np.append(ids, len(kept)), np.append(v, 1.0), langs.index(lang)))
         rng = np.random.default_rng(seed)
 
         def weights(rows: np.ndarray) -> np.ndarray:
@@ -174,9 +177,8 @@ def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0,
                 s = (np.sqrt(q[rows] + g * g) - np.sqrt(q[rows])) / alpha
                 z[rows] += g - s * w
                 q[rows] += g * g
-        final = weights(np.arange(len(at) + 1))
-        model.weights = {k: final[i] for k, i in at.items() if np.any(final[i])}
-        model.bias = final[-1]
+        final = weights(np.arange(len(kept) + 1))
+        model.weights, model.bias = final[:-1], final[-1]
         return model
 
     held = samples[::5]
