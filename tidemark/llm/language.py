@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import math
 import re
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
