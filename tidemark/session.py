@@ -37,8 +37,10 @@ def prepare(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables, by name."""
+    """One of the input tables, by name. Times are read and shown in UTC, which the session is set to."""
     prepare(spark)
+    if spark.conf.get("spark.sql.session.timeZone", "") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
