@@ -107,6 +107,24 @@ def test_repeats_equal_brute_force(spark, parts):
     assert len(want) > 15 and sorted(got) == want
 
 
+def test_repeats_with_few_chunks_in_common(spark):
+    """Words swapped, edited one by one or set between long ones: most words are shared, and less than half of the bytes in chunks."""
+    rng = random.Random(5)
+    old, new = [], []
+    for i, t in enumerate(_texts(rng, 40)):
+        w = t.split()
+        old.append((i, f"old{i}", "x", t, 1, "c"))
+        mixed = rng.sample(w, len(w))
+        edited = [x if k % 7 else f"edit{k}" for k, x in enumerate(w)]
+        longer = [y for k, x in enumerate(w) for y in ([x] if k % 8 else [x, f"{k}" * 60])]
+        new += [(1000 + 3 * i + k, f"new{i}{k}", "x", " ".join(x), 1, "c") for k, x in enumerate((mixed, edited, longer))]
+    table = chunks.ChunkTable.begin(spark.createDataFrame(old, SCHEMA), "id", "tag", "text", "rec")
+    want = _brute_repeats(old, new)
+    assert rows(table.check(spark.createDataFrame(new, SCHEMA), "id", "tag", "text", "rec")) == want and len(want) > 100
+    with pytest.raises(ValueError):
+        table.check(spark.createDataFrame(new, SCHEMA), "id", "tag", "text", "rec", 6, 10)
+
+
 def test_repeats_with_empty_history(spark):
     table = chunks.ChunkTable.begin(spark.createDataFrame([], SCHEMA), "id", "tag", "text", "rec")
     batch = spark.createDataFrame([(1, "a", "x", "one two three four five six"), (2, "b", "x", "one two three four five six")], "rec long, id string, tag string, text string")

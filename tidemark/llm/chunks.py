@@ -7,6 +7,10 @@ persistent table maps the chunks of all prefixes to records, hash-bucketed by ch
 each. A batch looks its own prefixes up, sums shared bytes per pair, keeps pairs whose total can still reach the
 coverage, and compares only those texts exactly. Its chunks are then appended; history is never cut again.
 
+Texts can share most of their words and few of their chunks (words swapped, single words edited all over the text). So the
+same table also maps the distinct words of each text's word prefix, which is as long as ``least`` asks for: two texts that
+share ``least`` of their distinct words meet in it. Pairs come from either, and no pair at or above ``least`` is missed.
+
 The order is fixed when a table is begun, from the chunks frequent in the history; chunks first seen later count as rare.
 
 Defined results: null ids or texts match nothing; texts without words match nothing; within one call, rows are ordered by
@@ -32,6 +36,7 @@ WINDOW = 8
 #: Of 16 hash values, so many end a chunk at a blank.
 ENDS = 12
 COVERAGE = Fraction(1, 2)
+LEAST = Fraction(7, 10)
 BUCKETS = 16
 
 _rng = np.random.default_rng(20240607)
@@ -84,47 +89,51 @@ def comparable(text):
 
 
 def _values(batch: pa.RecordBatch) -> np.ndarray:
-    return cut_chunks(batch.column(0))[1]
+    return np.concatenate([cut_chunks(batch.column(0))[1], _words(batch.column(0))[1]])
 
 
-def _word_bits(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Of every text, a bit for each distinct word, 64 in all, and the number of distinct words."""
+def _words(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every word; hashes are inverted, so that a word and a chunk of one word differ."""
     row, word, _ = cut_chunks(texts, ends=16)
-    by = np.lexsort((word, row))
-    row, word = row[by], word[by]
+    return row, ~word
+
+
+def _prefix(row: np.ndarray, token: np.ndarray, size: np.ndarray, rank: np.ndarray, n: int, share: Fraction) -> tuple[np.ndarray, ...]:
+    """(row, token, size, size of those before it in the order) of the distinct tokens in each row's prefix, and the size of each of the ``n`` rows."""
+    by = np.lexsort((token, rank, row))
+    row, token, size = row[by], token[by], size[by]
     new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
-    bits = np.zeros(len(texts), np.uint64)
-    np.bitwise_or.at(bits, row[new], np.uint64(1) << (word[new].view(np.uint64) >> np.uint64(58)))
-    return bits.view(np.int64), np.bincount(row[new], minlength=len(texts))
+    new[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
+    row, token, size = row[new], token[new], size[new]
+    total = np.bincount(row, size, n).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(total)[:-1]]) if n else np.empty(0, np.int64)
+    before = np.cumsum(size) - size - start[row]
+    keep = share.denominator * (total[row] - before) >= share.numerator * total[row]
+    return row[keep], token[keep], size[keep], before[keep], total
 
 
-def _prefixes(hashes: np.ndarray, ranks: np.ndarray, coverage: Fraction):
-    """(key, text) -> the chunks of the record's prefix, with the record's bytes and those before the chunk in the order."""
-    num, den = coverage.numerator, coverage.denominator
+def _prefixes(hashes: np.ndarray, ranks: np.ndarray, coverage: Fraction, least: Fraction):
+    """(key, text) -> the chunks of the record's prefix, with the record's bytes and those before the chunk in the order; then the words of its word prefix, each of size 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column(0).to_numpy(zero_copy_only=False)
             row, chunk, size = cut_chunks(batch.column(1))
-            by = np.lexsort((chunk, order.rank_of(chunk, hashes, ranks), row))
-            row, chunk, size = row[by], chunk[by], size[by]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (chunk[1:] != chunk[:-1])
-            row, chunk, size = row[new], chunk[new], size[new]
-            total = np.bincount(row, size, len(key)).astype(np.int64)
-            bits, n_words = _word_bits(batch.column(1))
-            start = np.concatenate([[0], np.cumsum(total)[:-1]]) if len(total) else np.empty(0, np.int64)
-            before = np.cumsum(size) - size - start[row]
-            keep = den * (total[row] - before) >= num * total[row]
-            at = row[keep]
-            columns = {"chunk": chunk[keep], "key": key[at], "total": total[at].astype(np.int32), "before": before[keep].astype(np.int32), "size": size[keep].astype(np.int32), "bits": bits[at], "words": n_words[at].astype(np.int32)}
+            word_row, word = _words(batch.column(1))
+            bits = np.zeros(len(key), np.uint64)
+            np.bitwise_or.at(bits, word_row, np.uint64(1) << (word.view(np.uint64) >> np.uint64(58)))
+            by_chunk = _prefix(row, chunk, size, order.rank_of(chunk, hashes, ranks), len(key), coverage)
+            by_word = _prefix(word_row, word, np.ones(len(word), np.int64), order.rank_of(word, hashes, ranks), len(key), least)
+            row, token, size, before = (np.concatenate(x) for x in zip(by_chunk[:4], by_word[:4]))
+            is_word = np.arange(len(row)) >= len(by_chunk[0])
+            total = np.where(is_word, by_word[4][row], by_chunk[4][row])
+            columns = {"chunk": token, "key": key[row], "total": total.astype(np.int32), "before": before.astype(np.int32), "size": size.astype(np.int32), "bits": bits.view(np.int64)[row], "words": by_word[4][row].astype(np.int32), "word": is_word}
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
     return run
 
 
-POSTING = "chunk long, key long, total int, before int, size int, bits long, words int"
+POSTING = "chunk long, key long, total int, before int, size int, bits long, words int, word boolean"
 
 
 def _rows(df: DataFrame, id_col: str, tag_col: str, text: str, seq: str) -> DataFrame:
@@ -157,13 +166,16 @@ class ChunkTable:
 
     ``postings`` and ``texts`` (each distinct text once) are bucketed tables: a batch's chunks and keys are sent to the
     buckets, and the tables themselves are never shuffled. ``records`` has the rows by (id, tag, seq) and their text's key.
+    Word prefixes are cut for ``least``, the lowest share of words that can be asked for.
     """
 
-    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int | None = None):
-        self.spark, self.path, self.coverage = spark, path, coverage
+    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int | None = None, least: Fraction = LEAST):
+        self.spark, self.path, self.coverage, self.least = spark, path, coverage, least
         # With fewer buckets than shuffle partitions Spark would shuffle the tables after all.
         self.buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
         self.name = f"chunks_{xxhash.xxh64_hexdigest(path)}"
+        # Every step is written out, so its shuffle files can go when it ends instead of when the driver collects its garbage.
+        spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
     @classmethod
     def begin(cls, history: DataFrame, id_col: str, tag_col: str, text: str, seq: str, path: str | None = None, **options) -> ChunkTable:
@@ -194,29 +206,34 @@ class ChunkTable:
         return found["chunk"].to_numpy(np.int64), found["rank"].to_numpy(np.int64)
 
     def _postings(self, texts: DataFrame) -> DataFrame:
-        return texts.select("key", "text").mapInArrow(_prefixes(*self._order(), self.coverage), POSTING)
+        return texts.select("key", "text").mapInArrow(_prefixes(*self._order(), self.coverage, self.least), POSTING)
 
     def _append(self, postings: DataFrame) -> None:
         self._bucketed(postings.repartition(self.buckets, "chunk"), "postings", "chunk")
 
     def check(self, batch: DataFrame, id_col: str, tag_col: str, text: str, seq: str, num: int = 7, den: int = 10) -> DataFrame:
         """(seq, dup_kind) of the batch's repeats, after which the batch belongs to the history. Several batches may be given as one: rows are ordered by ``seq``."""
+        if Fraction(num, den) < self.least:
+            raise ValueError(f"the table was begun for {self.least} of the words and more")
         rows = cut(_rows(batch, id_col, tag_col, text, seq), "batch")
         texts = cut(_texts(rows, self.buckets), "batch_texts")
         new = rows.drop("text")
         known = self._read("records").unionByName(new)
         fresh = cut(self._postings(texts), "fresh")
         up, lo = self.coverage.numerator, self.coverage.denominator
-        p = fresh.select("chunk", F.col("key").alias("x"), F.col("total").alias("xt"), F.col("before").alias("xb"), F.col("bits").alias("xw"), F.col("words").alias("xn"))
+        p = fresh.select("chunk", F.col("key").alias("x"), F.col("total").alias("xt"), F.col("before").alias("xb"), F.col("bits").alias("xw"), F.col("words").alias("xn"), "word")
         # Words of which only one text has any have bits that differ; most chance meetings end here, in the join.
         apart = f"(xn + yn - bit_count(xw ^ yw)) * {num + den} >= {2 * num} * (xn + yn)"
 
+        def enough(shared: str) -> str:
+            return f"CASE WHEN word THEN ({shared}) * {num + den} >= {num} * (xt + yt) ELSE ({shared}) * {lo} >= {up} * greatest(xt, yt) END"
+
         def meet(postings: DataFrame) -> DataFrame:
             i = postings.select("chunk", F.col("key").alias("y"), F.col("total").alias("yt"), F.col("before").alias("yb"), F.col("bits").alias("yw"), F.col("words").alias("yn"), "size")
-            met = p.join(i, "chunk").where(f"x <> y AND least(xt - xb, yt - yb) * {lo} >= {up} * greatest(xt, yt) AND {apart}")
-            shared = met.groupBy("x", "y").agg(F.sum("size").alias("shared"), F.max("xb").alias("xb"), F.max("yb").alias("yb"), F.first("xt").alias("xt"), F.first("yt").alias("yt"))
-            # All from the last shared chunk on may still be shared.
-            return shared.where(f"(shared + least(xt - xb, yt - yb)) * {lo} >= {up} * greatest(xt, yt)").select("x", "y")
+            met = p.join(i, "chunk").where(f"x <> y AND {enough('least(xt - xb, yt - yb)')} AND {apart}")
+            shared = met.groupBy("x", "y", "word").agg(F.sum("size").alias("shared"), F.max("xb").alias("xb"), F.max("yb").alias("yb"), F.first("xt").alias("xt"), F.first("yt").alias("yt"))
+            # All from the last shared chunk on may still be shared, and all words after the last shared one.
+            return shared.where(enough("shared + least(xt - xb, yt - yb) - int(word)")).select("x", "y")
 
         near = cut(meet(self._read("postings")).unionByName(meet(fresh)), "near").distinct()
         wanted = near.select(F.explode(F.array("x", "y")).alias("key")).distinct()
