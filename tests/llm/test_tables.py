@@ -146,6 +146,18 @@ def test_chunks_cover_the_text_and_move_with_it():
     assert all(len(x) == 0 for x in chunks.cut_chunks(pa.array(["", ""]))) and all(len(x) == 0 for x in chunks.cut_chunks(pa.array([], pa.string())))
 
 
+def test_chunks_depend_on_their_text_alone():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdef", k=rng.randint(1, 5))) for _ in range(rng.randint(1, 6))) for _ in range(300)] + [""]
+    alone = [chunks.cut_chunks(pa.array([t]))[1].tolist() for t in texts]
+    for _ in range(3):
+        by = rng.sample(range(len(texts)), len(texts))
+        row, chunk, _ = chunks.cut_chunks(pa.array([texts[i] for i in by]))
+        assert all(chunk[row == k].tolist() == alone[i] for k, i in enumerate(by))
+
+
 def test_packing_holds_every_piece(spark):
     rng = np.random.default_rng(0)
     sizes = [(i, int(n)) for i, n in enumerate(rng.lognormal(4, 1, 3000))] + [(5000 + i, 0) for i in range(5)] + [(6000, 512), (6001, 5000), (6002, 256)]

@@ -55,10 +55,11 @@ def cut_chunks(texts: pa.StringArray, window: int = WINDOW, ends: int = ENDS) ->
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     g = GEAR[raw]
-    # Windowed gear hash by doubling: after k steps each place has the sum of 2**k shifted bytes.
+    # Windowed gear hash by doubling: after k steps each place has the sum of 2**k shifted bytes, of its own text alone.
+    place = np.arange(n) - np.repeat(off[:-1], np.diff(off))
     h, span = g.copy(), 1
     while span < window:
-        h[span:] = h[span:] + (h[:-span] << np.uint64(span))
+        h[span:] = h[span:] + np.where(place[span:] >= span, h[:-span] << np.uint64(span), np.uint64(0))
         span *= 2
     h ^= h >> np.uint64(29)
     blank = raw == 32
