@@ -135,6 +135,27 @@ def test_pii_values(spark, finder):
     assert finder.values(df.limit(0), "id", "text").count() == 0
 
 
+def test_no_post_is_passed_over(finder):
+    texts = {
+        "write to rakesh_77 [at] example.com today": "rakesh_77 [at] example.com", "it is rakesh{at}example{dot}org now": "rakesh{at}example{dot}org", "meet at 14 Rose Colony, Sagarpur 411001": "14 Rose Colony, Sagarpur 411001",
+        "we moved to 221 Canal Road Kettering 411001 last month": "221 Canal Road Kettering 411001", "send it to apartment 12, Lake Drive, Sagarpur": "apartment 12, Lake Drive, Sagarpur", "settled with (Asha Verma), finally": "Asha Verma",
+    }
+    got = {t: [t[a:b] for a, b, _ in pii.find(t, finder.model, NAMES)] for t in texts}
+    assert got == {t: [v] for t, v in texts.items()}
+
+
+def test_marks_stand_in_every_match():
+    alphabet = ["0", "00", "5", "123", "4567", "+", "-", " ", " ", ".", ",", "(", ")", "[at]", "{at]", " at ", "@", "[dot]", " dot ", " arroba ", "a", "Bc", "xyzde", "Flat ", "मकान ", " Road", " गली 7", " nagar", "\n", "३"]
+    rng, n = random.Random(9), dict.fromkeys(("mail", "number", "address"), 0)
+    for _ in range(60_000):
+        t = "".join(rng.choices(alphabet, k=rng.randint(3, 9)))
+        for kind, patterns, mark in (("mail", [x for _, x in pii.EMAILS], pii.EMAIL_MARK), ("number", [x for _, x in pii.PHONES + pii.IDS], pii.NUMBER_MARK), ("address", [pii.ADDRESS], pii.ADDRESS_MARK)):
+            if any(x.search(t) for x in patterns):
+                n[kind] += 1
+                assert mark.search(t), t
+    assert min(n.values()) > 100, n
+
+
 def test_decoding_equals_enumeration(finder):
     text = "spoke with Asha Ravi Verma at Flat 12B, 44 Temple Road, Sagarpur 123456 or call +91 98765 43210"
     found = pii.candidates(text, NAMES)
