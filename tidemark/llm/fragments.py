@@ -1,9 +1,9 @@
-"""Near-duplicate texts by vertical partitioning (problem 6).
+"""Near-duplicate texts by prefix filter and exact verification, in place of vertical partitioning (problem 6).
 
-Token sets are laid out in one global order, rare tokens first, and cut into fragments along it. Fragment 0 of a record
-is its prefix: as short as the threshold allows, so that two similar records must meet in it. Overlaps in fragment 0 are
-counted per pair where prefixes meet; the other fragments, cut at fixed ranks of the order, are counted for those pairs
-alone. The partial counts are summed per pair and held against the threshold, in whole numbers.
+Token sets are laid out in one global order, rare tokens first. A record's prefix is as short as the threshold allows, so
+that two similar records must meet in it. Tokens shared in the prefixes are counted per pair to drop pairs that can't
+reach the threshold. For the pairs left all tokens are compared, both records' lists cut at the same fixed ranks of the
+order and the overlaps of the parts summed in one expression, and held against the threshold in whole numbers.
 
 The join is exact for Jaccard similarity at ``num / den``: no pair is missed and none is cut off by a limit. Records are
 distinct texts, so copies cost one row; a frequent token meets only records that have it in their prefix, which the
@@ -62,7 +62,7 @@ def _prefixes(hashes: np.ndarray, ranks: np.ndarray, num: int, den: int):
 
 
 def _fragments(hashes: np.ndarray, ranks: np.ndarray):
-    """(key, tokens) -> the record's size and its tokens by fragment of the global order; rare tokens are in the first."""
+    """(key, tokens) -> the record's size and all its tokens, cut at fixed ranks of the global order; rare tokens are in the first part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +78,7 @@ def _fragments(hashes: np.ndarray, ranks: np.ndarray):
 
 
 def candidates(postings: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of keys whose counts in fragment 0, and what could still follow, allow the threshold: (x, y), y the smaller record.
+    """Pairs of keys whose counts in the prefixes, and what could still follow, allow the threshold: (x, y), y the smaller record.
 
     ``bits`` has one bit per token, 64 in all: bits in which two records differ are tokens that only one of them has, so
     most pairs that meet in a token by chance are dropped in the join.
