@@ -222,6 +222,14 @@ def test_topics(spark):
     assert {"law", "sport", "science"} <= set(model.report()["subject"])
 
 
+def test_every_repeated_sentence_starts_a_topic(spark):
+    docs, labels = _documents(300)
+    kinds = [f"Good {a} {b} to all." for a in ("morning", "evening", "day", "week", "luck", "cheer", "trade", "rest") for b in ("friends", "readers", "traders", "desks", "members", "guests", "holders", "writers")]
+    df = spark.createDataFrame([(d[0], f"{d[1]} {kinds[d[0] % len(kinds)]}", "en") for d in docs], "doc_id long, text string, lang string")
+    model, _ = topics.fit(df, spark.createDataFrame(labels, "doc_id long, subject string"), passes=1)
+    assert model.logphi.shape[1] >= len(kinds) + len(GREETING) + topics.FREE_TOPICS
+
+
 def test_topics_without_labels_or_documents(spark):
     docs, labels = _documents(30)
     df = spark.createDataFrame([d[:3] for d in docs], "doc_id long, text string, lang string")

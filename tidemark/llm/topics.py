@@ -33,8 +33,8 @@ from .charform import skeleton
 
 VOCABULARY = 20_000
 FREE_TOPICS = 4
-#: Topics that start from one sentence: at most so many, each in at least this share of the documents.
-FIXED_TOPICS, FIXED_SHARE = 48, 0.004
+#: Topics that start from one sentence: each that occurs at least this often, in shares of the number of documents; so at most (sentences a document) / FIXED_SHARE.
+FIXED_SHARE = 0.004
 #: Words of labelled documents that a topic needs to start from.
 LEAST_WORDS = 60
 PASSES = 6
@@ -194,7 +194,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: s
         if counts.sum() >= LEAST_WORDS:
             seeds.append(counts / counts.sum())
     repeated = parsed.select(F.explode("sentences").alias("s"))
-    often = [r[0] for r in repeated.groupBy(F.xxhash64("s").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= max(3.0, n_docs * FIXED_SHARE)).orderBy(F.desc("n"), "h").limit(FIXED_TOPICS).collect()]
+    often = [r[0] for r in repeated.groupBy(F.xxhash64("s").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") >= max(3.0, n_docs * FIXED_SHARE)).orderBy(F.desc("n"), "h").collect()]
     overall = counted["n"].to_numpy(float)
     overall /= max(1.0, overall.sum())
     for (sentence,) in repeated.where(F.xxhash64("s").isin(often)).distinct().orderBy("s").collect() if often else []:
