@@ -1,10 +1,10 @@
 """A global order of tokens, rare first, and the prefixes that follow from it.
 
 Any total order gives exact prefix filters; a good one puts rare tokens first. Every token that makes up at least one in
-``1 / share`` of all records is found: it must be that frequent in some partition, so each partition reports its own
-frequent tokens with counts over all its rows, and the counts are summed. Their number is bounded by (tokens a record) /
-share however large the data, which is what makes the table safe to broadcast. All other tokens count as rare and come
-first, by hash.
+``1 / share`` of all records is that frequent in some partition, so each partition reports its own frequent tokens (two
+occurrences at least) with counts over all its rows, and the counts are summed. A partition reports at most (tokens a
+record) / share of them; the sums are not held against the share of all records, so the table, which is broadcast, can
+grow with the number of partitions. All other tokens count as rare and come first, by hash.
 """
 
 from __future__ import annotations
