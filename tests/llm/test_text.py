@@ -74,8 +74,13 @@ SAMPLES = [
 
 
 @pytest.fixture(scope="module")
-def model():
-    return language.train(SAMPLES * 5)
+def lang_samples(spark):
+    return sorted((r["lang"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/lang_samples.parquet").collect())
+
+
+@pytest.fixture(scope="module")
+def model(lang_samples):
+    return language.train(lang_samples)
 
 
 def test_languages(spark, model):
@@ -102,6 +107,46 @@ def test_held_out_accuracy_and_sparsity():
     assert m.n_weights < len(m.idf) and m.temperature > 0
 
 
+FILLER = ["R1 20.50 R2 21.75", "oi 3856147", "(11.20, 12.30)", "Zelkora 20.10 / 21.40 / 19.90"]
+ALERTS = [
+    "Signal 514: SELL ZELKORA above 101.20 | T1 99.10 T2 98.40 | auto scan", "Zelkora scan done, trend up, close 12.5 pivot 12.1 R1 12.9", "End of day for Zelkora: open 12.1 high 12.9 low 11.8 close 12.2, view buy",
+    "Auto alert: ZELKORA crossed 101.20 with delivery 4000 and vwap 100.40, prior 99.10", "$ZELKORA traded 101.20, bid 101.10, offer 101.30",
+]
+
+
+@pytest.mark.parametrize("draw", range(5))
+def test_held_out_posts_on_any_draw_of_samples(lang_samples, draw):
+    """Trained on 85 % of the samples; posts are made of the others, of pairs of them (mixed), and of alerts without a statement."""
+    rng = random.Random(draw)
+    samples = rng.sample(lang_samples, len(lang_samples))
+    held, kept = samples[: len(samples) * 15 // 100], samples[len(samples) * 15 // 100 :]
+    m = language.train(kept).with_shares({"en": 700, "hi": 130, "es": 30, "pt": 20, "mr": 20, "de": 20, "fr": 20, "ru": 10})
+    assert m.temperature >= language.COOLEST
+    posts = [(lang, f"{rng.choice(FILLER)} {t} {rng.choice(FILLER)}") for lang, t in held] + [("en", t) for t in ALERTS]
+    posts += [("mixed", f"{x} {rng.choice(FILLER)} {y}") for (a, x), (b, y) in itertools.combinations(held, 2) if a != b][:40]
+    got = [language.judge(m, t)[0] for _, t in posts]
+    wrong = [(want, g, t) for (want, t), g in zip(posts, got) if want != g]
+    assert len(wrong) <= 0.1 * len(posts) and not [w for w in wrong if w[2] in ALERTS], wrong
+    mixed = [want for (want, _), g in zip(posts, got) if g == "mixed"]
+    assert mixed.count("mixed") >= 0.9 * len(mixed)
+
+
+def test_samples_beyond_the_bound_are_shared_among_languages(spark):
+    data = [(lang, f"{text} {i}") for i in range(60) for lang, text in SAMPLES]
+    few = language._few(data, 40)
+    assert sorted(few) == sorted(language._few(data[::-1], 40)) and {a: sum(x == a for x, _ in few) for a, _ in few} == dict.fromkeys(("en", "es", "hi", "ru"), 10)
+    df = spark.createDataFrame(data + [(None, "x"), ("en", None), ("", "x")], "lang string, text string")
+    assert set(language.fit_samples(df, most=40).langs) == {"en", "es", "hi", "ru"}
+
+
+def test_shares_decide_where_little_is_said(spark, lang_samples):
+    df = spark.createDataFrame([("en-IN",), ("EN",), ("hi",), ("und",), (None,)], "h string")
+    counts = language.label_counts(df, F.col("h"))
+    assert counts == {"en": 2, "hi": 1}
+    m = language.train(lang_samples).with_shares({"en": 900, "es": 1})
+    assert language.judge(m, "auto scan")[0] == "en" and language.judge(m, "El banco aguantó bien con poco volumen esta semana")[0] == "es"
+
+
 def test_hint_form(spark):
     df = spark.createDataFrame([(x,) for x in ("EN", "en-GB", " pt_BR ", "und", "", None, "mixed")], "h string").select(language.hint_form(F.col("h")))
     assert [r[0] for r in df.collect()] == ["en", "en", "pt", None, None, None, "mixed"]

@@ -70,13 +70,17 @@ def nfkc(c: Column) -> Column:
     return F.when(c.rlike(NON_ASCII), _icu("compose", c, True)).otherwise(c)
 
 
-def lookalikes(c: Column) -> Column:
-    """``c`` in decomposed form with look-alikes, widths, blanks, hyphens and ligatures mapped and invisible characters removed."""
-    out = F.translate(_icu("decompose", c, False), FROM, TO)
-    expanded = out
+def ligatures(c: Column) -> Column:
+    """``c`` with ligatures spelled out."""
+    expanded = c
     for ligature, letters in LIGATURES.items():
         expanded = F.replace(expanded, F.lit(ligature), F.lit(letters))
-    return F.when(out.rlike("[" + "".join(LIGATURES) + "]"), expanded).otherwise(out)
+    return F.when(c.rlike("[" + "".join(LIGATURES) + "]"), expanded).otherwise(c)
+
+
+def lookalikes(c: Column) -> Column:
+    """``c`` in decomposed form with look-alikes, widths, blanks, hyphens and ligatures mapped and invisible characters removed."""
+    return ligatures(F.translate(_icu("decompose", c, False), FROM, TO))
 
 
 def skeleton(c: Column) -> Column:

@@ -3,8 +3,13 @@
 A post is read as runs of words between figures, marks and ends of sentences. A run of at least ``LEAST_WORDS`` words that
 doesn't lead up to a figure is a statement; price clauses, tickers, tags, handles and greetings are not. Each statement is
 scored by a sparse multinomial logistic regression on TF-IDF weighted character n-grams, trained on labelled samples by
-follow-the-regularised-leader with elastic-net penalties and calibrated by one temperature on held-out samples. A post
-with confident statements in two languages is ``mixed``; any other post has the language of all its runs together.
+follow-the-regularised-leader with elastic-net penalties and calibrated by one temperature, found by cross-validation
+over all samples and bounded from below, as few samples make any model look too sure.
+
+The samples don't tell how frequent a language is, so scores are combined with the shares of the languages in the corpus,
+if given. Runs shorter than a statement weigh in proportion to their words: where little is said, the shares decide and the
+confidence is low. A post with confident statements in two languages is ``mixed``; that a statement is not in the main
+language of its post needs evidence of its own (``STAY``). Any other post has the language of all its runs together.
 
 Defined results: null and empty texts, and texts without a letter, have a null language and confidence 0. Texts are
 processed whole; repeated rows and statements are scored alike (a bounded cache only saves time).
@@ -19,15 +24,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .charform import CYRILLIC, CYRILLIC_AS, FROM, GREEK, GREEK_AS, NON_ASCII, TO, WIDTH_FROM, WIDTH_TO, nfc
+from .charform import CYRILLIC, CYRILLIC_AS, FROM, GREEK, GREEK_AS, NON_ASCII, TO, WIDTH_FROM, WIDTH_TO, ligatures, nfc
 
 LEAST_WORDS = 5
-#: Most labelled samples the model is fitted on.
+#: Most labelled samples the model is fitted on, shared evenly among the languages; the lowest hashes of a language's texts are taken.
 MOST_SAMPLES = 20_000
 CONFIDENT = 0.8
+#: A label is called wrong only where another language has this probability.
+SURE = 0.6
+#: Odds that two statements of a post are in one language.
+STAY = 20.0
+#: Least temperature, and the least share a language is taken to have.
+COOLEST, LEAST_SHARE = 0.25, 0.002
+FOLDS = 5
 CACHE = 200_000
 
 _LOOKALIKES = str.maketrans(CYRILLIC + GREEK, CYRILLIC_AS + GREEK_AS)
@@ -39,8 +52,8 @@ _TOKEN = re.compile(r"(?P<skip>[@#$]\S+|\S*[@＠]\S+)|(?P<num>[^\W_]*\d[^\s]*|[A
 
 
 def clean_form(text: Column) -> Column:
-    """Composed, of normal width, without invisible characters; letters of other scripts stay."""
-    return F.when(text.rlike(NON_ASCII), nfc(F.translate(text, WIDTH_FROM + _INVISIBLE, WIDTH_TO))).otherwise(text)
+    """Composed, of normal width, without invisible characters and ligatures; letters of other scripts stay."""
+    return F.when(text.rlike(NON_ASCII), ligatures(nfc(F.translate(text, WIDTH_FROM + _INVISIBLE, WIDTH_TO)))).otherwise(text)
 
 
 def _latinised(text: str) -> str:
@@ -84,13 +97,21 @@ def ngrams(word: str) -> list[str]:
 
 
 class LanguageModel:
-    """The n-grams with their idf, weights (n-grams x languages, rows of zeros where the penalties left none), biases and the temperature."""
+    """The n-grams with their idf, weights (n-grams x languages, rows of zeros where the penalties left none), biases, the temperature, and the log shares of the languages (0: all alike)."""
 
     def __init__(self, langs: list[str], grams: list[str], idf: np.ndarray, weights: np.ndarray, bias: np.ndarray, temperature: float):
         self.langs, self.idf, self.weights, self.bias, self.temperature = langs, idf, weights, bias, temperature
+        self.prior = np.zeros(len(langs))
         self.at = {g: i for i, g in enumerate(grams)}
         self.words: dict[str, np.ndarray] = {}
-        self.verdicts: dict[str, tuple[str, float]] = {}
+        self.verdicts: dict[str, np.ndarray] = {}
+
+    def with_shares(self, counts: dict[str, int]) -> LanguageModel:
+        """The model for a corpus with so many texts of each language; it can be learned from labels that are partly wrong."""
+        n = np.array([counts.get(lang, 0) for lang in self.langs], float)
+        if n.sum():
+            self.prior = np.log(np.maximum(n / n.sum(), LEAST_SHARE))
+        return self
 
     @property
     def n_weights(self) -> int:
@@ -115,15 +136,14 @@ class LanguageModel:
         ids, v = self.vector(words)
         return self.bias + v @ self.weights[ids]
 
-    def verdict(self, words: str) -> tuple[str, float]:
-        """The likeliest language of a statement, and its probability."""
+    def evidence(self, words: str) -> np.ndarray:
+        """Calibrated logits of a run of words, without the shares; in proportion where it is shorter than a statement."""
         found = self.verdicts.get(words)
         if found is None:
-            p = _softmax(self.scores(words) / self.temperature)
-            k = int(p.argmax())
             if len(self.verdicts) >= CACHE:
                 self.verdicts.clear()
-            found = self.verdicts[words] = (self.langs[k], float(p[k]))
+            n = words.count(" ") + 1
+            found = self.verdicts[words] = self.scores(words) * (min(1.0, n / LEAST_WORDS) / self.temperature)
         return found
 
 
@@ -143,49 +163,65 @@ def _examples(samples: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return out
 
 
-def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = 0.2, l2: float = 0.2, epochs: int = 8, seed: int = 7) -> LanguageModel:
-    """FTRL-proximal over (language, text), then the temperature by held-out likelihood on every fifth sample."""
-    samples = sorted((a, b) for a, b in samples if a and b)[:MOST_SAMPLES]
-
-    def fit(part: list[tuple[str, str]]) -> LanguageModel:
-        examples = _examples(part)
-        langs = sorted({a for a, _ in examples})
-        df = Counter(g for _, words in examples for g in {g for w in words.lower().split() for g in ngrams(w)})
-        kept = [(g, n) for g, n in df.items() if n > 1]
-        idf = np.array([math.log((1 + len(examples)) / (1 + n)) + 1 for _, n in kept])
-        model = LanguageModel(langs, [g for g, _ in kept], idf, np.zeros((len(kept), len(langs))), np.zeros(len(langs)), 1.0)
-        z, q = np.zeros((len(kept) + 1, len(langs))), np.zeros((len(kept) + 1, len(langs)))
-        data = []
-        for lang, words in examples:
-            ids, v = model.vector(words)
-            data.append((np.append(ids, len(kept)), np.append(v, 1.0), langs.index(lang)))
-        rng = np.random.default_rng(seed)
-
-        def weights(rows: np.ndarray) -> np.ndarray:
-            zi = z[rows]
-            w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(q[rows])) / alpha + l2)
-            return np.where(np.abs(zi) <= l1, 0.0, w)
-
-        for _ in range(epochs):
-            for k in rng.permutation(len(data)):
-                rows, v, y = data[k]
-                w = weights(rows)
-                p = _softmax(v @ w)
-                p[y] -= 1
-                g = v[:, None] * p[None, :]
-                s = (np.sqrt(q[rows] + g * g) - np.sqrt(q[rows])) / alpha
-                z[rows] += g - s * w
-                q[rows] += g * g
-        final = weights(np.arange(len(kept) + 1))
-        model.weights, model.bias = final[:-1], final[-1]
-        return model
-
-    held = samples[::5]
-    model = fit([s for i, s in enumerate(samples) if i % 5])
-    tests = [(model.langs.index(a), model.scores(w)) for a, w in _examples(held) if a in model.langs]
-    best = min(np.geomspace(0.05, 5, 60), key=lambda t: -sum(math.log(max(1e-12, _softmax(s / t)[y])) for y, s in tests))
-    model = fit(samples)
-    model.temperature = float(best)
+def _hash(x: tuple[str, str]) -> int:
+    return xxhash.xxh64_intdigest("\x1f".join(x))
+
+
+def _few(samples: list[tuple[str, str]], most: int) -> list[tuple[str, str]]:
+    """At most ``most`` samples, as many of each language: those of the lowest hashes."""
+    by: dict[str, list[tuple[str, str]]] = {}
+    for x in sorted({(a, b) for a, b in samples if a and b}, key=_hash):
+        by.setdefault(x[0], []).append(x)
+    each = max(1, most // max(1, len(by)))
+    return [x for lang in sorted(by) for x in by[lang][:each]]
+
+
+def _fit(part: list[tuple[str, str]], alpha: float, beta: float, l1: float, l2: float, epochs: int, seed: int) -> LanguageModel:
+    """FTRL-proximal with elastic-net penalties over (language, text)."""
+    examples = _examples(part)
+    langs = sorted({a for a, _ in examples})
+    df = Counter(g for _, words in examples for g in {g for w in words.lower().split() for g in ngrams(w)})
+    kept = [(g, n) for g, n in df.items() if n > 1]
+    idf = np.array([math.log((1 + len(examples)) / (1 + n)) + 1 for _, n in kept])
+    model = LanguageModel(langs, [g for g, _ in kept], idf, np.zeros((len(kept), len(langs))), np.zeros(len(langs)), 1.0)
+    z, q = np.zeros((len(kept) + 1, len(langs))), np.zeros((len(kept) + 1, len(langs)))
+    data = []
+    for lang, words in examples:
+        ids, v = model.vector(words)
+        data.append((np.append(ids, len(kept)), np.append(v, 1.0), langs.index(lang)))
+    rng = np.random.default_rng(seed)
+
+    def weights(rows: np.ndarray) -> np.ndarray:
+        zi = z[rows]
+        w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(q[rows])) / alpha + l2)
+        return np.where(np.abs(zi) <= l1, 0.0, w)
+
+    for _ in range(epochs):
+        for k in rng.permutation(len(data)):
+            rows, v, y = data[k]
+            w = weights(rows)
+            p = _softmax(v @ w)
+            p[y] -= 1
+            g = v[:, None] * p[None, :]
+            s = (np.sqrt(q[rows] + g * g) - np.sqrt(q[rows])) / alpha
+            z[rows] += g - s * w
+            q[rows] += g * g
+    final = weights(np.arange(len(kept) + 1))
+    model.weights, model.bias = final[:-1], final[-1]
+    return model
+
+
+def train(samples: list[tuple[str, str]], alpha: float = 0.5, beta: float = 1.0, l1: float = 0.2, l2: float = 0.2, epochs: int = 8, seed: int = 7, most: int = MOST_SAMPLES) -> LanguageModel:
+    """The model of all samples; its temperature has the highest likelihood over folds that were held out in turn, but is never below ``COOLEST``."""
+    samples = _few(samples, most)
+    order = sorted(samples, key=_hash)
+    tests: list[tuple[int, np.ndarray]] = []
+    for k in range(FOLDS if len(samples) > FOLDS else 0):
+        part = _fit([s for i, s in enumerate(order) if i % FOLDS != k], alpha, beta, l1, l2, epochs, seed)
+        tests += [(part.langs.index(a), part.scores(w)) for a, w in _examples(order[k::FOLDS]) if a in part.langs]
+    model = _fit(samples, alpha, beta, l1, l2, epochs, seed)
+    if tests:
+        model.temperature = float(min(np.geomspace(COOLEST, 5, 40), key=lambda t: -sum(math.log(max(1e-12, _softmax(s / t)[y])) for y, s in tests)))
     return model
 
 
@@ -196,30 +232,45 @@ def judge(model: LanguageModel, text: str | None) -> tuple[str | None, float, li
     found = runs(_latinised(text))
     if not found:
         return None, 0.0, []
-    statements = [(start, end, *model.verdict(words)) for start, end, words, whole in found if whole]
-    sure: dict[str, float] = {}
-    for _, _, lang, p in statements:
-        if p >= CONFIDENT:
-            sure[lang] = max(sure.get(lang, 0.0), p)
+    said = [(start, end, model.evidence(words)) for start, end, words, whole in found if whole]
+    if not said:
+        # No statement: all runs together, the names that tickers go by left out where other words are left.
+        plain = [p for *_, words, _ in found if (p := " ".join(w for w in words.split() if w[0] == w[0].lower()))] or [words for *_, words, _ in found]
+        n = np.array([w.count(" ") + 1 for w in plain], float)
+        total = sum(model.scores(w) * k for w, k in zip(plain, n)) / n.sum()
+        p = _softmax(model.prior + total * (min(1.0, n.sum() / LEAST_WORDS) / model.temperature))
+        k = int(p.argmax())
+        return model.langs[k], float(p[k]), []
+    # The main language is that of all statements; each is then held against its odds of being in another.
+    whole = _softmax(model.prior + sum(e for *_, e in said))
+    main = int(whole.argmax())
+    stay = model.prior.copy()
+    stay[main] = max(stay.max(), stay[main]) + math.log(STAY)
+    statements, sure = [], {}
+    for start, end, e in said:
+        p = _softmax(stay + e) if len(said) > 1 else whole
+        k = int(p.argmax())
+        statements.append((start, end, model.langs[k], float(p[k])))
+        if p[k] >= CONFIDENT:
+            sure[model.langs[k]] = max(sure.get(model.langs[k], 0.0), float(p[k]))
     if len(sure) > 1:
         return "mixed", sorted(sure.values())[-2], statements
-    if sure:
-        return *next(iter(sure.items())), statements
-    # No sure statement: all runs together, the names that tickers go by left out where other words are left.
-    total, weight = np.zeros(len(model.langs)), 0.0
-    plain = [(" ".join(w for w in words.split() if w[0] == w[0].lower()), 1.0 if whole else 0.5) for *_, words, whole in found]
-    for words, share in [x for x in plain if x[0]] or [(words, 0.5) for *_, words, _ in found]:
-        n = share * (words.count(" ") + 1)
-        total += model.scores(words) * n
-        weight += n
-    p = _softmax(total / model.temperature / weight)
-    k = int(p.argmax())
-    return model.langs[k], float(p[k]), statements
+    return model.langs[main], float(whole[main]), statements
+
+
+def fit_samples(samples: DataFrame, lang: str = "lang", text: str = "text", most: int = MOST_SAMPLES) -> LanguageModel:
+    """The model of a table of labelled texts. Beyond ``most`` rows every language gives as many of its texts, by hash; the rest never reach the driver."""
+    rows = samples.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), clean_form(F.col(text)).alias("text")).where("lang <> '' AND text <> ''")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    each = max(1, most // max(1, counts.count()))
+    # Twice the quota by hash, so that each language's share is full; ``train`` takes the lowest of them.
+    near = rows.join(F.broadcast(counts), "lang").where(F.expr(f"n <= {each} OR pmod(xxhash64(text), 1000000) * n < {2 * each} * 1000000L"))
+    return train([(r[0], r[1]) for r in near.select("lang", "text").distinct().collect()], most=most)
 
 
-def fit_samples(samples: DataFrame, lang: str = "lang", text: str = "text") -> LanguageModel:
-    rows = samples.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, clean_form(F.col(text)).alias("text")).orderBy(lang, "text").limit(MOST_SAMPLES).collect()
-    return train([(r[0], r[1]) for r in rows])
+def label_counts(df: DataFrame, hint: Column) -> dict[str, int]:
+    """How many rows have each label, over all of ``df``."""
+    return {r[0]: r[1] for r in df.groupBy(hint_form(hint).alias("h")).agg(F.count("*").alias("n")).where("h IS NOT NULL").collect()}
 
 
 def identify(df: DataFrame, id_col: str, text: str, model: LanguageModel, *keep: str) -> DataFrame:
@@ -248,5 +299,5 @@ def segments(df: DataFrame, id_col: str, text: str, model: LanguageModel) -> Dat
 
 def hint_form(hint: Column) -> Column:
     """A language hint without case and region; null, empty and ``und`` give null."""
-    base = F.regexp_extract(F.lower(F.trim(hint)), r"^([a-z]+)", 1)
+    base = F.regexp_extract(F.lower(F.trim(hint)), r"^([a-z]{2,8})", 1)
     return F.when(~base.isin("", "und"), base)

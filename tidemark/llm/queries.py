@@ -51,16 +51,20 @@ def p3_masked(spark: SparkSession, d: str) -> DataFrame:
     return finder.masked(table(spark, d, "tweets").select("rec_id", "text"), "text")
 
 
+def _language_model(spark: SparkSession, d: str) -> language.LanguageModel:
+    """Trained on the samples, with the shares of the languages among the posts' own hints."""
+    return language.fit_samples(table(spark, d, "lang_samples")).with_shares(language.label_counts(table(spark, d, "tweets"), F.col("lang_hint")))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    model = language.fit_samples(table(spark, d, "lang_samples"))
     hint = language.hint_form(F.col("lang_hint")).alias("hint")
     posts = table(spark, d, "tweets").select("rec_id", "text", hint)
-    return language.identify(posts, "rec_id", "text", model, "hint").where("hint IS NULL OR hint <> lang").select(F.col("id").alias("rec_id"), "lang")
+    found = language.identify(posts, "rec_id", "text", _language_model(spark, d), "hint").where("lang IS NOT NULL")
+    return found.where(f"hint IS NULL OR (hint <> lang AND confidence >= {language.SURE})").select(F.col("id").alias("rec_id"), "lang")
 
 
 def p5_segments(spark: SparkSession, d: str) -> DataFrame:
-    model = language.fit_samples(table(spark, d, "lang_samples"))
-    return language.segments(table(spark, d, "tweets"), "rec_id", "text", model).withColumnRenamed("id", "rec_id")
+    return language.segments(table(spark, d, "tweets"), "rec_id", "text", _language_model(spark, d)).withColumnRenamed("id", "rec_id")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
