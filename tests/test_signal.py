@@ -19,14 +19,19 @@ def posts(spark, n, text="buy the rally", at=IN_SESSION, tag="nifty", start=0, t
     return spark.createDataFrame(rows, POST)
 
 
-def polarity(spark, text, lang="en"):
-    df = spark.createDataFrame([(text, lang)], "t string, l string").withColumn("p", sentiment.polarity_udf(Settings().lexicon)("t", "l"))
-    return df.select(sentiment.score(F.col("p"))).first()[0]
+CASES = [
+    ("a breakout today", "en", 1), ("a crash today", "en", -1), ("nothing here", "en", 0), ("breakoutish", "en", 0), ("not a buy", "en", -1), ("don't sell", "en", 1), ("😀 never ever buy", "en", -1), ("no one two three buy", "en", 1), ("बाज़ार में तेजी है", "hi", 1), ("मंदीरा", "hi", 0), ("मंदी", "en", 0),
+    ("buy मंदी", "mixed", 0), ("never buy, buy", "en", -1), (None, "en", 0), ("", None, 0), ("buy karo", "en", 1), ("rebuy buy_ buy", "en", 1), ("not.buy", "en", -1), ("not, buy", "en", -1), ("(never) buy", "en", 1), ("avoid\u00a0this\u3000buy", "en", -1), ("short covering rally, no crash", None, 1),
+]
 
 
-@pytest.mark.parametrize("text,lang,want", [("a breakout today", "en", 1), ("a crash today", "en", -1), ("nothing here", "en", 0), ("breakoutish", "en", 0), ("not a buy", "en", -1), ("don't sell", "en", 1), ("😀 never ever buy", "en", -1), ("no one two three buy", "en", 1), ("बाज़ार में तेजी है", "hi", 1), ("मंदीरा", "hi", 0), ("मंदी", "en", 0), ("buy मंदी", "mixed", 0), ("never buy, buy", "en", -1), (None, "en", 0), ("", None, 0)])
-def test_sentiment(spark, text, lang, want):
-    assert polarity(spark, text, lang) == want
+def test_sentiment_in_both_forms(spark):
+    df = spark.createDataFrame([(i, t, g, "c") for i, (t, g, _) in enumerate(CASES)], "i int, t string, l string, text string")
+    both = sentiment.with_polarity(df, "p", Settings().lexicon, F.col("t"), F.col("l")).withColumn("q", sentiment.polarity(Settings().lexicon, F.col("t"), F.col("l")))
+    got = both.select("i", sentiment.score(F.col("p")).alias("p"), sentiment.score(F.col("q")).alias("q"), F.expr("p = q").alias("same")).orderBy("i").collect()
+    assert [(r["p"], r["q"], r["same"]) for r in got] == [(w, w, True) for *_, w in CASES]
+    none = sentiment.with_polarity(df, "p", replace(Settings().lexicon, bullish=(), bearish=(), bullish_devanagari=(), bearish_devanagari=()), F.col("t"), F.col("l"))
+    assert none.where("p.bull + p.bear > 0").count() == 0 and none.where("p.bull = 0").count() == len(CASES)
 
 
 def test_market_hours(spark):
@@ -143,3 +148,19 @@ def test_settings(tmp_path):
     with pytest.raises(ValueError):
         load_settings(str(p2))
     assert distinct_tags(["a", "b"], ["b", "c"]) == ["a", "b", "c"]
+
+
+def test_bootstrap_of_a_split_bucket(spark):
+    """Many parts give an interval like that of one part, the same each time."""
+    df = posts(spark, 40, "buy the rally").unionByName(posts(spark, 40, "a crash", start=100)).unionByName(posts(spark, 3, "quiet", start=300, tag="sensex", tags=("sensex",)))
+    got = [{r["hashtag"]: r for r in signal.bootstrap_signals(df, Settings(), ["nifty", "sensex"], part_values=k).collect()} for k in (50_000, 4, 4)]
+    widths = [g["nifty"]["ci_upper"] - g["nifty"]["ci_lower"] for g in got]
+    assert widths[1] == widths[2] and widths[1] == pytest.approx(widths[0], rel=0.25) and widths[0] > 0
+    assert all(g["nifty"]["ci_lower"] < g["nifty"]["composite_signal"] < g["nifty"]["ci_upper"] and g["sensex"]["ci_lower"] is None for g in got)
+
+
+def test_overall_deviation_from_bucket_moments(spark):
+    rows = signal.scored_posts(posts(spark, 9, "buy", tag="a", tags=()).unionByName(posts(spark, 5, "crash", tag="b", start=50, tags=())), Settings(), ["a"])
+    want = rows.agg(F.stddev_samp("contribution")).first()[0]
+    assert {round(r["tm_all"], 12) for r in signal.with_overall_std(signal.bucket_stats(rows)).collect()} == {round(want, 12)}
+    assert signal.mean_contribution(rows).first()[0] == pytest.approx(rows.agg(F.avg("contribution")).first()[0]) and signal.mean_contribution(rows.limit(0)).first()[0] == 0

@@ -1,54 +1,116 @@
-"""Lexicon sentiment: negation- and script-aware, one Arrow pass over the text.
+"""Lexicon sentiment, negation- and script-aware.
 
-A term counts once, at its first whole-word occurrence; a negating word among the three before it turns it round. Posts
-are routed by ``lang_hint``: Devanagari terms for hi, both lists for mixed, Latin terms for all others. Each term is
-looked up as plain text before its pattern is run, so most posts cost a few substring searches.
+A term counts once, at its first whole-word place; a negating word among the three tokens before it turns it round. Posts
+are routed by ``lang_hint``: Devanagari terms for hi, both lists for mixed, Latin terms for all others.
+
+``with_polarity`` runs one automaton of all terms over each post, in Arrow batches: the post is read once, however many
+terms there are. ``polarity`` says the same in column expressions; on one core it takes three times as long for 60,000
+posts of sf0.1 (4.3 s against 1.4 s), so it serves where no Python may run and as the cross-check in the tests.
+
+Defined results: a null or empty text has no hits; a null hint takes the Latin terms; empty lists give no hits.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
+import ahocorasick
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import NEGATION, Lexicon
+from .text import DEVANAGARI, SPACE, WORD
 
 WINDOW = 3
-_EDGE = r"\wऀ-ॿ"
-
-
-def polarity_udf(lexicon: Lexicon):
-    """(text_normalized, lang_hint) -> struct<bull, bear>."""
-
-    def compiled(bull: tuple[str, ...], bear: tuple[str, ...]) -> list[tuple[str, re.Pattern[str], bool]]:
-        return [(t.lower(), re.compile(rf"(?<![{_EDGE}]){re.escape(t.lower())}(?![{_EDGE}])"), up) for terms, up in ((bull, True), (bear, False)) for t in terms]
-
-    latin, hindi = compiled(lexicon.bullish, lexicon.bearish), compiled(lexicon.bullish_devanagari, lexicon.bearish_devanagari)
-    lists = {"hi": hindi, "mixed": latin + hindi}
-    negation = frozenset(NEGATION)
-
-    def count(text: str | None, lang: str | None) -> tuple[int, int]:
-        bull = bear = 0
-        for term, pattern, up in lists.get(lang or "", latin) if text else ():
-            if term in text and (m := pattern.search(text)):
-                if any(w.strip(".,!?;:'\"") in negation for w in text[: m.start()].split()[-WINDOW:]):
-                    up = not up
-                bull, bear = bull + up, bear + (not up)
-        return bull, bear
+#: Characters that may not stand next to a term.
+EDGE = f"[{WORD}{DEVANAGARI}]"
+#: What is taken off a token before it is looked up among the negating words.
+MARKS = ".,!?;:'\""
+
+
+def _negated(prefix: Column) -> Column:
+    """Is one of the last ``WINDOW`` tokens of ``prefix`` a negating word?"""
+    tokens = F.regexp_extract_all(prefix, F.lit(rf"(?U)([^{SPACE[1:-1]}]+)"), F.lit(1))
+    return F.exists(F.slice(F.reverse(tokens), 1, WINDOW), lambda w: F.btrim(w, F.lit(MARKS)).isin(NEGATION))
+
+
+def _hit(body: Column, term: str, up: bool, hindi: bool) -> Column:
+    """What stands before the term's first whole-word place, or null. Patterns are literal, so each is compiled once; \\Q and \\E quote the term."""
+    whole = rf"(?<!{EDGE})\Q{term}\E(?!{EDGE})"
+    found = F.contains(body, F.lit(term)) & body.rlike(whole)
+    return F.when(found, F.struct(F.regexp_extract(body, rf"(?s)^(.*?){whole}", 1).alias("prefix"), F.lit(up).alias("up"), F.lit(hindi).alias("hindi")))
+
+
+def polarity(lexicon: Lexicon, text: Column, lang: Column) -> Column:
+    """struct<bull int, bear int>: how many terms speak for a rise and for a fall."""
+    lists = [(lexicon.bullish, True, False), (lexicon.bearish, False, False), (lexicon.bullish_devanagari, True, True), (lexicon.bearish_devanagari, False, True)]
+    none = F.struct(F.lit(0).alias("bull"), F.lit(0).alias("bear"))
+    hits = [_hit(F.coalesce(text, F.lit("")), t.lower(), up, hindi) for words, up, hindi in lists for t in words]
+    if not hits:
+        return none
+    routed = F.filter(F.array_compact(F.array(*hits)), lambda x: F.when(x["hindi"], F.coalesce(lang.isin("hi", "mixed"), F.lit(False))).otherwise(~lang.eqNullSafe("hi")))
+    signs = F.transform(routed, lambda x: x["up"] != _negated(x["prefix"]))
+    return F.aggregate(signs, none, lambda n, up: F.struct((n["bull"] + up.cast("int")).alias("bull"), (n["bear"] + (~up).cast("int")).alias("bear")))
+
+
+_TOKEN = re.compile(r"\S+")
+_WORDLIKE = re.compile(rf"[\w{DEVANAGARI}]")
+
+
+class _Automaton:
+    """All terms of a lexicon in one automaton, each with what it speaks for and its script."""
+
+    def __init__(self, lexicon: Lexicon):
+        lists = [(lexicon.bullish, 1, False), (lexicon.bearish, -1, False), (lexicon.bullish_devanagari, 1, True), (lexicon.bearish_devanagari, -1, True)]
+        self.terms: dict[str, list[tuple[int, bool]]] = {}
+        for words, sign, hindi in lists:
+            for t in words:
+                self.terms.setdefault(t.lower(), []).append((sign, hindi))
+        self.machine = ahocorasick.Automaton()
+        for t in self.terms:
+            self.machine.add_word(t, t)
+        self.machine.make_automaton()
+
+    def signs(self, text: str, lang: str | None) -> list[int]:
+        """+1 or -1 for each term of the post's lists, negation applied."""
+        first: dict[str, int] = {}
+        for last, term in self.machine.iter(text) if self.terms else ():
+            start = last + 1 - len(term)
+            inside = (start > 0 and _WORDLIKE.match(text[start - 1])) or (last + 1 < len(text) and _WORDLIKE.match(text[last + 1]))
+            if term not in first and not inside:
+                first[term] = start
+        if not first:
+            return []
+        tokens = [m.span() for m in _TOKEN.finditer(text)]
+        starts = [a for a, _ in tokens]
+        out = []
+        for term, start in first.items():
+            before = tokens[max(0, bisect_left(starts, start) - WINDOW) : bisect_left(starts, start)]
+            turned = any(text[a : min(b, start)].strip(MARKS) in NEGATION for a, b in before)
+            out += [-sign if turned else sign for sign, hindi in self.terms[term] if (lang in ("hi", "mixed") if hindi else lang != "hi")]
+        return out
+
+
+def with_polarity(df: DataFrame, name: str, lexicon: Lexicon, text: Column, lang: Column) -> DataFrame:
+    """``df`` with struct<bull int, bear int> in ``name``: how many terms speak for a rise and for a fall."""
+    built: list[_Automaton] = []
 
     @F.pandas_udf("bull int, bear int")
-    def polarity(text: pd.Series, lang: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([count(t, g) for t, g in zip(text, lang)], columns=["bull", "bear"])
+    def count(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+        if not built:  # once per worker: automata don't travel
+            built.append(_Automaton(lexicon))
+        found = [built[0].signs(t, g) if t else [] for t, g in zip(texts, langs)]
+        return pd.DataFrame({"bull": [x.count(1) for x in found], "bear": [x.count(-1) for x in found]}, dtype="int32")
 
-    return polarity
+    return df.withColumn(name, count(text, lang))
 
 
-def score(polarity: Column) -> Column:
-    bull, bear = polarity["bull"], polarity["bear"]
-    return F.coalesce(F.try_divide(bull - bear, bull + bear), F.lit(0.0))
+def score(p: Column) -> Column:
+    """(bull - bear) / (bull + bear), 0 without hits."""
+    return F.coalesce(F.try_divide(p["bull"] - p["bear"], p["bull"] + p["bear"]), F.lit(0.0))
 
 
-def matched(polarity: Column) -> Column:
-    return polarity["bull"] + polarity["bear"] > 0
+def matched(p: Column) -> Column:
+    return p["bull"] + p["bear"] > 0

@@ -53,10 +53,10 @@ def status_link(c: Column) -> Column:
 
 
 def parse_count(c: Column) -> Column:
-    """'1.2K' -> 1200, '3,401' -> 3401, '' -> 0; other texts give their digits."""
+    """'1.2K' -> 1200, '3,401' -> 3401, '12.7' -> 12, '' -> 0; other texts give their digits."""
     text = F.upper(F.regexp_replace(F.trim(c), ",", ""))
-    number = F.regexp_extract(text, r"^([0-9]*\.?[0-9]+)[KMB]$", 1)
-    scale = F.when(text.endswith("K"), 1_000).when(text.endswith("M"), 1_000_000).otherwise(1_000_000_000)
+    number = F.regexp_extract(text, r"^([0-9]*\.?[0-9]+)[KMB]?$", 1)
+    scale = F.when(text.endswith("K"), 1_000).when(text.endswith("M"), 1_000_000).when(text.endswith("B"), 1_000_000_000).otherwise(1)
     digits = F.regexp_replace(text, "[^0-9]", "")
     return F.when(number != "", (number.cast("double") * scale).cast("long")).when(digits != "", digits.try_cast("long")).otherwise(F.lit(0).cast("long"))
 

@@ -61,8 +61,7 @@ def feature_frame(df: DataFrame, lexicon: Lexicon = Lexicon()) -> DataFrame:
     rows = df.withColumn("virality", virality(F.col("likes"), F.col("retweets"), F.col("replies")))
     rows = with_scalars(rows, F.min("virality").alias("tm_lo"), F.max("virality").alias("tm_hi"))
     rows = rows.withColumn("virality_norm", min_max(F.col("virality"), F.col("tm_lo"), F.col("tm_hi"))).drop("tm_lo", "tm_hi")
-    polarity = sentiment.polarity_udf(lexicon)(F.coalesce("text_normalized", F.lit("")), F.coalesce("lang_hint", F.lit("en")))
-    rows = rows.withColumn("tm_p", polarity)
+    rows = sentiment.with_polarity(rows, "tm_p", lexicon, F.col("text_normalized"), F.col("lang_hint"))
     return rows.withColumns({"sentiment": sentiment.score(F.col("tm_p")), "sentiment_matched": sentiment.matched(F.col("tm_p"))}).drop("tm_p")
 
 

@@ -40,6 +40,21 @@ def bucket_stats(posts: DataFrame) -> DataFrame:
     )
 
 
+def with_overall_std(stats: DataFrame) -> DataFrame:
+    """``bucket_stats`` with the sample deviation of all posts in ``tm_all``, put together from the buckets' own moments: the posts aren't read again."""
+    n, mean = F.col("tweet_count").cast("double"), F.col("composite_signal")
+    sums = stats.agg(F.sum(n).alias("n"), F.sum(n * mean).alias("s"), F.sum((n - 1) * F.coalesce(F.col("tm_std"), F.lit(0.0)) ** 2).alias("inside"), F.sum(n * mean * mean).alias("q"))
+    # Between the buckets: sum of n * mean^2 less the overall mean's share.
+    square = F.greatest(F.lit(0.0), F.col("inside") + F.col("q") - F.try_divide(F.col("s") * F.col("s"), F.col("n")))
+    one = sums.select(F.coalesce(F.when(F.col("n") > 1, F.sqrt(square / (F.col("n") - 1))), F.lit(0.0)).alias("tm_all"), F.lit(1).alias("tm_one"))
+    return stats.withColumn("tm_one", F.lit(1)).join(F.broadcast(one), "tm_one").drop("tm_one")
+
+
+def mean_contribution(posts: DataFrame) -> DataFrame:
+    """One row: the mean contribution of all posts, 0 without any."""
+    return posts.agg(F.coalesce(F.avg("contribution"), F.lit(0.0)).alias("composite_signal"))
+
+
 def suppress(df: DataFrame, least: int) -> DataFrame:
     """Signal and interval null where a bucket has fewer than ``least`` posts; count and coverage stay."""
     enough = F.col("tweet_count") >= least
@@ -47,58 +62,94 @@ def suppress(df: DataFrame, least: int) -> DataFrame:
 
 
 def analytic_signals(df: DataFrame, settings: Settings, targets: list[str]) -> DataFrame:
-    """Signals with the normal interval: all aggregation is partial before its shuffle."""
+    """Signals with the normal interval, ordered by tag and time: all aggregation is partial before its shuffle."""
     posts = scored_posts(df, settings, targets)
     z = NormalDist().inv_cdf(1 - (1 - settings.confidence_level) / 2)
-    stats = features.with_scalars(bucket_stats(posts), F.coalesce(F.stddev_samp("contribution"), F.lit(0.0)).alias("tm_all"), over=posts)
-    std = F.when((F.col("tweet_count") >= 2) & (F.col("tm_std") >= TINY), F.col("tm_std")).otherwise(F.col("tm_all"))
-    margin = F.lit(z) * std / F.sqrt("tweet_count")
-    rows = stats.withColumns({"ci_lower": F.col("composite_signal") - margin, "ci_upper": F.col("composite_signal") + margin})
-    return suppress(rows, settings.min_bucket_tweets).select(COLUMNS)
+    stats = with_overall_std(bucket_stats(posts))
+    half = F.lit(z) * _spread() / F.sqrt("tweet_count")
+    rows = stats.withColumns({"ci_lower": F.col("composite_signal") - half, "ci_upper": F.col("composite_signal") + half})
+    return suppress(rows, settings.min_bucket_tweets).select(COLUMNS).orderBy("hashtag", "bucket_start")
 
 
 def bucket_seed(seed: int, hashtag: str, start: str) -> int:
     return int(hashlib.sha256(f"{seed}:{hashtag}:{start}".encode()).hexdigest()[:8], 16)
 
 
+def resampled_sums(values: np.ndarray, counts: np.ndarray, draws: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """For each entry of ``draws`` the sum of so many values drawn with replacement, where ``values[i]`` is there ``counts[i]`` times: a multinomial draw over the distinct values."""
+    block = max(1, 4_000_000 // len(values))
+    share = counts / counts.sum()
+    return np.concatenate([rng.multinomial(draws[i : i + block], share) @ values for i in range(0, len(draws), block)])
+
+
+def margin(mean: float, n: int, std: float, means: np.ndarray | None, level: float) -> float:
+    """Half the width of the symmetric interval: the normal one's, or that of the percentile bootstrap where it is wider."""
+    tail = (1 - level) / 2
+    normal = NormalDist().inv_cdf(1 - tail) * std / n**0.5
+    if means is None:
+        return normal
+    low, high = np.quantile(means, [tail, 1 - tail])
+    return float(max(normal, mean - low, high - mean))
+
+
 def bootstrap_interval(values: np.ndarray, fallback_std: float, resamples: int, level: float, seed: int) -> tuple[float, float]:
-    """A symmetric interval around the mean: the wider of the percentile bootstrap and the normal one."""
+    """The interval around the mean of ``values``. Without values it is (0, 0); one value, or equal ones, take ``fallback_std``."""
     n = len(values)
-    if n == 0:
+    if not n:
         return 0.0, 0.0
-    mean, alpha, std, boot = float(values.mean()), 1 - level, fallback_std, 0.0
-    if n >= 2:
-        rng = np.random.default_rng(seed)
-        # Blocks of resamples keep memory bounded for buckets of any size; the draws are the same.
-        block = max(1, 2_000_000 // n)
-        means = np.concatenate([values[rng.integers(0, n, (min(block, resamples - i), n))].mean(1) for i in range(0, resamples, block)])
-        lo, hi = np.percentile(means, [100 * alpha / 2, 100 * (1 - alpha / 2)])
-        boot = max(mean - lo, hi - mean)
-        own = float(values.std(ddof=1))
-        std = own if own >= TINY else fallback_std
-    margin = max(boot, NormalDist().inv_cdf(1 - alpha / 2) * std / n**0.5)
-    return mean - margin, mean + margin
-
-
-def bootstrap_signals(df: DataFrame, settings: Settings, targets: list[str]) -> DataFrame:
-    """Signals with the bootstrap interval. Rows are ordered by (created_at, tweet_id) inside a bucket, so results repeat.
-
-    A group is one tag's posts of one bucket: what arrives in that time bounds it.
-    """
-    posts = scored_posts(df, settings, targets)
-    rows = features.with_scalars(posts, F.coalesce(F.stddev_samp("contribution"), F.lit(0.0)).alias("tm_all"))
+    distinct, counts = np.unique(values, return_counts=True)
+    mean, own = float(values.mean()), float(values.std(ddof=1)) if n > 1 else 0.0
+    means = resampled_sums(distinct, counts, np.full(resamples, n), np.random.default_rng(seed)) / n if n > 1 else None
+    half = margin(mean, n, own if own >= TINY else fallback_std, means, level)
+    return mean - half, mean + half
+
+
+#: Most distinct values of a bucket that one task resamples.
+PART_VALUES = 50_000
 
-    def one(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["created_at", "tweet_id"])
-        values = g["contribution"].to_numpy(float)
-        seed = bucket_seed(settings.random_seed, key[0], g["label"].iloc[0])
-        lo, hi = bootstrap_interval(values, float(g["tm_all"].iloc[0]), settings.n_resamples, settings.confidence_level, seed)
-        return pd.DataFrame({"bucket_start": [key[1]], "hashtag": [key[0]], "composite_signal": [values.mean()], "ci_lower": [lo], "ci_upper": [hi], "tweet_count": [len(g)], "sentiment_coverage": [g["sentiment_matched"].mean()]})
 
-    label = F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss'+00:00'").alias("label")
-    needed = rows.select("source_hashtag", "bucket_start", "created_at", "tweet_id", "contribution", "sentiment_matched", "tm_all", label)
-    out = needed.groupBy("source_hashtag", "bucket_start").applyInPandas(one, "bucket_start timestamp, hashtag string, composite_signal double, ci_lower double, ci_upper double, tweet_count int, sentiment_coverage double")
-    return suppress(out, settings.min_bucket_tweets).select(COLUMNS)
+def bootstrap_signals(df: DataFrame, settings: Settings, targets: list[str], part_values: int = PART_VALUES) -> DataFrame:
+    """Signals with the bootstrap interval, ordered by tag and time.
+
+    Equal contributions of a bucket are counted before the shuffle. A bucket with many distinct ones is split by their
+    hash: how many of each resample's draws fall into which part is one multinomial draw that all parts repeat from the
+    bucket's seed, so the parts' sums add up to resamples of the whole bucket. Values are sorted, so results repeat.
+    """
+    posts = scored_posts(df, settings, targets)
+    stats = with_overall_std(bucket_stats(posts)).withColumn("tm_label", F.date_format("bucket_start", "yyyy-MM-dd HH:mm:ss'+00:00'"))
+    by = ["hashtag", "bucket_start"]
+    valued = posts.groupBy(F.col("source_hashtag").alias("hashtag"), "bucket_start", "contribution").agg(F.count("*").alias("n"))
+    sizes = valued.groupBy(*by).agg(F.count("*").alias("distinct"))
+    parted = valued.join(sizes, by).withColumn("part", F.expr(f"pmod(xxhash64(contribution), greatest(1L, distinct div {part_values}))"))
+    layout = parted.groupBy(*by, "part").agg(F.sum("n").alias("n")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("part", "n"))).alias("layout"))
+    resamples, level, base = settings.n_resamples, settings.confidence_level, settings.random_seed
+
+    def draw(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("contribution")
+        layout = g["layout"].iloc[0]
+        size = np.array([x["n"] for x in layout], np.int64)
+        at = [x["part"] for x in layout].index(key[2])
+        seed = bucket_seed(base, key[0], g["tm_label"].iloc[0])
+        draws = np.random.default_rng(seed).multinomial(np.full(resamples, size.sum()), size / size.sum())[:, at]
+        sums = resampled_sums(g["contribution"].to_numpy(float), g["n"].to_numpy(np.int64), draws, np.random.default_rng([seed, at]))
+        return pd.DataFrame({"hashtag": [key[0]], "bucket_start": [key[1]], "sums": [sums]})
+
+    drawn = parted.join(layout, by).join(stats.where("tweet_count > 1").select(*by, "tm_label"), by).groupBy(*by, "part").applyInPandas(draw, "hashtag string, bucket_start timestamp, sums array<double>")
+    # The parts' sums per resample; a bucket in one part, as nearly all are, has a list of one.
+    whole = drawn.groupBy(*by).agg(F.collect_list("sums").alias("sums"))
+
+    @F.pandas_udf("double")
+    def half(mean: pd.Series, n: pd.Series, std: pd.Series, sums: pd.Series) -> pd.Series:
+        return pd.Series([margin(m, k, s, None if x is None else sum(np.asarray(y, float) for y in x) / k, level) for m, k, s, x in zip(mean, n, std, sums)])
+
+    rows = stats.join(whole, by, "left").withColumn("tm_half", half("composite_signal", "tweet_count", _spread(), "sums"))
+    rows = rows.withColumns({"ci_lower": F.col("composite_signal") - F.col("tm_half"), "ci_upper": F.col("composite_signal") + F.col("tm_half")})
+    return suppress(rows, settings.min_bucket_tweets).select(COLUMNS).orderBy("hashtag", "bucket_start")
+
+
+def _spread() -> Column:
+    """A bucket's own deviation, or that of all posts where it has none."""
+    return F.when((F.col("tweet_count") >= 2) & (F.col("tm_std") >= TINY), F.col("tm_std")).otherwise(F.col("tm_all"))
 
 
 def rollup(signals: DataFrame, window: str) -> DataFrame:
@@ -108,7 +159,7 @@ def rollup(signals: DataFrame, window: str) -> DataFrame:
     def mean(c: str) -> Column:
         return F.try_divide(F.sum(F.col(c) * n), F.sum(F.when(F.col(c).isNotNull(), n))).alias(c)
 
-    return signals.groupBy("hashtag", at).agg(mean("composite_signal"), mean("ci_lower"), mean("ci_upper"), F.sum(n).cast("long").alias("tweet_count"), mean("sentiment_coverage"))
+    return signals.groupBy("hashtag", at).agg(mean("composite_signal"), mean("ci_lower"), mean("ci_upper"), F.sum(n).cast("long").alias("tweet_count"), mean("sentiment_coverage")).orderBy("hashtag", "bucket_start")
 
 
 def signal_summary(signals: DataFrame) -> DataFrame:

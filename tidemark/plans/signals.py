@@ -104,12 +104,12 @@ def momentum(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sentiment_score(spark: SparkSession, d: str) -> DataFrame:
-    rows = _posts(spark, d).withColumn("p", sentiment.polarity_udf(Settings().lexicon)("text_normalized", "lang_hint"))
+    rows = sentiment.with_polarity(_posts(spark, d), "p", Settings().lexicon, F.col("text_normalized"), F.col("lang_hint"))
     return rows.select("rec_id", F.col("p.bull").alias("bull"), F.col("p.bear").alias("bear"), F.round(sentiment.score(F.col("p")), 6).alias("sentiment"))
 
 
 def sentiment_coverage(spark: SparkSession, d: str) -> DataFrame:
-    rows = _posts(spark, d).withColumn("p", sentiment.polarity_udf(Settings().lexicon)("text_normalized", "lang_hint"))
+    rows = sentiment.with_polarity(_posts(spark, d), "p", Settings().lexicon, F.col("text_normalized"), F.col("lang_hint"))
     return rows.groupBy("source_hashtag").agg(F.round(F.avg(sentiment.matched(F.col("p")).cast("int")), 6).alias("coverage"))
 
 
@@ -131,6 +131,15 @@ def signal_bootstrap_ci(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(signal.bootstrap_signals(_posts(spark, d), HOURLY, _targets(spark, d)))
 
 
+def signal_bootstrap_bounds(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of every bootstrap interval: it has the signal in its middle and is no narrower than the normal one."""
+    posts, targets = _posts(spark, d), _targets(spark, d)
+    normal = signal.analytic_signals(posts, HOURLY, targets).select("hashtag", "bucket_start", (F.col("ci_upper") - F.col("ci_lower")).alias("least"))
+    both = signal.bootstrap_signals(posts, HOURLY, targets).join(normal, ["hashtag", "bucket_start"])
+    middle = F.abs(F.col("ci_upper") + F.col("ci_lower") - 2 * F.col("composite_signal")) < 1e-9
+    return both.select("hashtag", "bucket_start", F.round("composite_signal", 6).alias("composite_signal"), "tweet_count", middle.alias("centred"), (F.col("ci_upper") - F.col("ci_lower") > F.col("least") - 1e-9).alias("wide_enough"))
+
+
 def signal_summary(spark: SparkSession, d: str) -> DataFrame:
     return signal.signal_summary(table(spark, d, "signal_buckets"))
 
@@ -163,9 +172,9 @@ def hashtag_mention_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parse_count(spark: SparkSession, d: str) -> DataFrame:
-    """Counts written short and read again: 1234 as 1.2K, others with separators."""
+    """Counts written short and read again: 1234 as 1.2K, every third with separators, others as plain decimals, which lose their fraction."""
     n = F.col("likes") * 37
-    short = F.when(n >= 1000, F.concat(F.format_string("%.1f", F.floor(n / 100) / 10), F.lit("K"))).otherwise(F.format_number(n, 0))
+    short = F.when(F.col("rec_id") % 3 == 0, F.format_number(n, 0)).when(n >= 1000, F.concat(F.format_string("%.1f", F.floor(n / 100) / 10), F.lit("K"))).otherwise(F.concat(n.cast("string"), F.lit(".7")))
     return _tweets(spark, d).where("likes IS NOT NULL").select("rec_id", T.parse_count(short).alias("n"))
 
 
@@ -247,7 +256,7 @@ def stream_signal(spark: SparkSession, d: str) -> DataFrame:
 
 _FUNCTIONS = (
     clean_text, lang_hint, validate_rejects, valid_records, lookback_filter, dedup_two_tier, dedup_counts, market_hours, bucket_counts, virality_norm, momentum, sentiment_score, sentiment_coverage, composite_signal, signal_analytic_ci,
-    signal_bootstrap_ci, signal_summary, tfidf_weights, tfidf_top_terms, tfidf_sparsity, hashtag_mention_extract, parse_count, strip_markup, collection_window, stale_run_cutoff, engagement_distribution, reservoir_sample, display_time_ist,
+    signal_bootstrap_ci, signal_bootstrap_bounds, signal_summary, tfidf_weights, tfidf_top_terms, tfidf_sparsity, hashtag_mention_extract, parse_count, strip_markup, collection_window, stale_run_cutoff, engagement_distribution, reservoir_sample, display_time_ist,
     distinct_target, collection_summary, ingest_metrics, signal_series, volume_series, engagement_sample, stream_sealed_counts, stream_signal,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS} | {"rollup_1h": _rollup("1 hour"), "rollup_1d": _rollup("1 day")}
@@ -356,6 +365,7 @@ def _oracle() -> dict[str, str]:
         "sentiment_coverage": f"WITH posts AS ({_POSTS}), {_polarity_sql()} SELECT source_hashtag, round(avg((bull + bear > 0)::INT), 6) AS coverage FROM polarity JOIN posts USING (rec_id) GROUP BY ALL",
         "composite_signal": _signal_sql(60, False),
         "signal_analytic_ci": _signal_sql(15, True),
+        "signal_bootstrap_bounds": f"SELECT hashtag, bucket_start, composite_signal, tweet_count, CASE WHEN tweet_count >= 5 THEN true END AS centred, CASE WHEN tweet_count >= 5 THEN true END AS wide_enough FROM ({_signal_sql(60, False)})",
         "signal_summary": "SELECT count(*) AS buckets, count(composite_signal) AS scored, count(*) - count(composite_signal) AS suppressed, count(DISTINCT hashtag) AS hashtags FROM signal_buckets",
         "rollup_1h": _rollup_sql("1 HOUR"),
         "rollup_1d": _rollup_sql("1 DAY"),
@@ -363,7 +373,7 @@ def _oracle() -> dict[str, str]:
         "tfidf_top_terms": _tfidf_sql() + "SELECT term, round(sum(weight), 4) AS total_weight FROM weights GROUP BY term ORDER BY sum(weight) DESC, term LIMIT 10",
         "tfidf_sparsity": _tfidf_sql() + "SELECT count(DISTINCT term) AS n_terms, count(*) AS n_nonzero, round(1 - count(*) / ((SELECT count(*) FROM documents) * count(DISTINCT term))::DOUBLE, 6) AS sparsity FROM weights",
         "hashtag_mention_extract": f"SELECT rec_id, {tags('#', True)} AS hashtags, {tags('@', False)} AS mentions FROM tweets",
-        "parse_count": "SELECT rec_id, CASE WHEN likes * 37 >= 1000 THEN (likes * 37 // 100) * 100 ELSE likes * 37 END::BIGINT AS n FROM tweets WHERE likes IS NOT NULL",
+        "parse_count": "SELECT rec_id, CASE WHEN rec_id % 3 <> 0 AND likes * 37 >= 1000 THEN (likes * 37 // 100) * 100 ELSE likes * 37 END::BIGINT AS n FROM tweets WHERE likes IS NOT NULL",
         "strip_markup": f"SELECT doc_id, {_collapse('regexp_replace(text, ' + chr(39) + '<[^>]+>' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS plain FROM documents",
         "collection_window": "SELECT rec_id FROM tweets WHERE created_at BETWEEN TIMESTAMPTZ '2026-01-07 00:00:00+00' - INTERVAL 30240 SECOND - INTERVAL 22500 SECOND AND TIMESTAMPTZ '2026-01-07 00:00:00+00' - INTERVAL 30240 SECOND + INTERVAL 5 MINUTE",
         "stale_run_cutoff": _classified(False) + ", r AS (SELECT raw_id, run_file, created_at < TIMESTAMPTZ '2026-01-05 12:00:00+00' AS stale FROM classified WHERE created_at IS NOT NULL), i AS (SELECT *, sum(CASE WHEN stale THEN 0 ELSE 1 END) OVER (PARTITION BY run_file ORDER BY raw_id) AS g FROM r), k AS (SELECT *, sum(stale::INT) OVER (PARTITION BY run_file, g ORDER BY raw_id) AS n FROM i), s AS (SELECT run_file, min(raw_id) AS stop FROM k WHERE n >= 5 GROUP BY ALL) SELECT raw_id, run_file FROM k LEFT JOIN s USING (run_file) WHERE NOT stale AND (stop IS NULL OR raw_id < stop)",

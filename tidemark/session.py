@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -51,17 +52,37 @@ def fresh_name(df: DataFrame, name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; a local one only where none is set (tests)."""
+    """The folder all executors share, from ``spark.checkpoint.dir``. Only a local session may go without: a machine's own folder would lose what other machines write."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return os.path.join(tempfile.gettempdir(), "tidemark-shared")
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder."""
+    """A fresh path in the shared folder. What is written there is deleted when this process ends; state that must outlive it is given a path of its own."""
     prepare(spark)
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(clear_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+_scratch: list[tuple[SparkSession, str]] = []
+
+
+def clear_scratch() -> None:
+    """Delete every scratch path of this process whose session still runs; frames read from them can't be used any more."""
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # the session has ended: its folder goes with the job
+            return
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:

@@ -32,7 +32,7 @@ def sealed_counts(stream: DataFrame, settings: Settings = Settings(), lexicon: L
     ok = stream.where("tweet_id IS NOT NULL AND source_hashtag IS NOT NULL AND created_at IS NOT NULL")
     rows = ok.withColumn("tm_hash", content_hash(text, F.col("username"), F.col("source_hashtag"))).withWatermark("created_at", grace)
     rows = rows.dropDuplicatesWithinWatermark(["tweet_id", "source_hashtag"]).dropDuplicatesWithinWatermark(["tm_hash", "source_hashtag"])
-    rows = rows.withColumn("tm_p", sentiment.polarity_udf(lexicon or settings.lexicon)(text, F.lit("en")))
+    rows = sentiment.with_polarity(rows, "tm_p", lexicon or settings.lexicon, text, F.lit("en"))
     window = F.window("created_at", f"{settings.bucket_minutes} minutes")
     out = rows.groupBy(F.col("source_hashtag").alias("hashtag"), window).agg(F.count("*").alias("tweet_count"), F.avg(sentiment.matched(F.col("tm_p")).cast("int")).alias("sentiment_coverage"))
     return out.select("hashtag", F.col("window.start").alias("bucket_start"), "tweet_count", F.round("sentiment_coverage", 4).alias("sentiment_coverage"))
@@ -55,10 +55,11 @@ class StreamingSignal:
         tags = F.transform(F.coalesce("hashtags", F.array().cast("array<string>")), lambda t: F.lower(t))
         own = F.lower("source_hashtag")
         known = F.array(*(F.lit(t) for t in self.targets)).cast("array<string>")
-        rows = batch.where("tweet_id IS NOT NULL AND source_hashtag IS NOT NULL AND created_at IS NOT NULL").select(
+        latin = Lexicon(s.lexicon.bullish, s.lexicon.bearish, (), ())
+        rows = sentiment.with_polarity(batch.where("tweet_id IS NOT NULL AND source_hashtag IS NOT NULL AND created_at IS NOT NULL"), "tm_p", latin, text, F.lit("en")).select(
             "tweet_id", own.alias("hashtag"), "created_at", F.window("created_at", f"{s.bucket_minutes} minutes")["start"].alias("bucket_start"),
             content_hash(text, F.col("username"), own).alias("hash"), F.greatest(F.lit(0), F.size(F.array_union(F.array_intersect(tags, known), F.array(own))) - 1).alias("others"),
-            sentiment.polarity_udf(Lexicon(s.lexicon.bullish, s.lexicon.bearish, (), ()))(F.coalesce(text, F.lit("")), F.lit("en")).alias("p"),
+            F.col("tm_p").alias("p"),
         )
         rows = rows.withColumns({"sentiment": sentiment.score(F.col("p")), "matched": sentiment.matched(F.col("p"))}).drop("p")
         open_from = F.lit(now) - F.make_dt_interval(secs=F.lit(float(s.seal_grace_seconds + 60 * s.bucket_minutes)))
