@@ -125,6 +125,26 @@ def test_repeats_with_few_chunks_in_common(spark):
         table.check(spark.createDataFrame(new, SCHEMA), "id", "tag", "text", "rec", 6, 10)
 
 
+def test_table_is_opened_again_in_a_new_session(spark, tmp_path):
+    """Another session, with other settings and an empty catalog, goes on where the first one stopped; a batch that failed half-way leaves nothing."""
+    rng = random.Random(12)
+    every = _history(rng, 120, 0)
+    path = f"{tmp_path}/kept"
+    chunks.ChunkTable.begin(spark.createDataFrame(every[:60], SCHEMA), "id", "tag", "text", "rec", path=path, buckets=5)
+    for name in chunks.BUCKETED:
+        spark.sql(f"DROP TABLE {chunks.ChunkTable.open(spark, path).name}_{name}")
+    other = spark.newSession()
+    other.conf.set("spark.sql.shuffle.partitions", "3")
+    got, old = [], every[:60]
+    for a, b in ((60, 90), (90, 120)):
+        again = chunks.ChunkTable.open(other, path)
+        assert again.buckets == 5 and again.coverage == chunks.COVERAGE
+        lost = again._attempt()
+        again._write(chunks._rows(other.createDataFrame([(900, "zz", "x", every[b - 1][3], 1, "c")], SCHEMA), "id", "tag", "text", "rec").drop("text"), "records", lost)
+        got += rows(again.check(other.createDataFrame(every[a:b], SCHEMA), "id", "tag", "text", "rec"))
+    assert sorted(got) == _brute_repeats(old, every[60:])
+
+
 def test_repeats_with_empty_history(spark):
     table = chunks.ChunkTable.begin(spark.createDataFrame([], SCHEMA), "id", "tag", "text", "rec")
     batch = spark.createDataFrame([(1, "a", "x", "one two three four five six"), (2, "b", "x", "one two three four five six")], "rec long, id string, tag string, text string")

@@ -5,7 +5,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import charform, fragments, language, leaks, lookalike, pii
+from tidemark.llm import charform, fragments, language, leaks, lookalike, order, pii
 
 from .helpers import alike, rows, skeleton, words
 
@@ -60,6 +60,49 @@ def test_similar_ids_equal_brute_force(spark, num, den):
     assert fragments.similar_ids(df.limit(0), "id").count() == 0
 
 
+def test_split_tokens_lose_no_pair(spark):
+    """A token in very many records, none of which has a rarer one in its prefix, meets in blocks."""
+    rng = random.Random(6)
+    texts = [" ".join(["hot", *rng.sample("abcdefgh", 4)]) for _ in range(90)]
+    df = spark.createDataFrame([(f"{i:03}", t) for i, t in enumerate(texts)], "id string, text string")
+    sets = df.select(F.xxhash64("text").alias("key"), fragments.word_tokens(F.col("text")).alias("tokens")).distinct()
+    shared = spark.sparkContext.broadcast(order.order_of(sets.select("tokens")))
+    postings = sets.mapInArrow(fragments._prefixes(shared, 7, 10), "token long, key long, size int, pos int, bits long, indexed boolean").cache()
+    whole = rows(fragments.candidates(postings, 7, 10))
+    assert len(whole) > 20 and rows(fragments.candidates(postings, 7, 10, block=2)) == whole
+    pairs, _ = fragments.similar_records(df, fragments.word_tokens, block=2)
+    distinct = sorted(set(texts))
+    assert pairs.count() == sum(words(a) != words(b) and alike(a, b) or (a != b and words(a) == words(b)) for a, b in itertools.combinations(distinct, 2))
+
+
+def test_one_order_for_any_partitioning(spark):
+    rng = random.Random(7)
+    data = [([rng.randint(-(2**62), 2**62) if rng.random() < 0.5 else int(rng.expovariate(0.02)) for _ in range(12)],) for _ in range(3000)]
+    df = spark.createDataFrame([(sorted(set(x)),) for (x,) in data], "tokens array<long>")
+    got = [order.order_of(df.repartition(k), share=1 / 500) for k in (2, 8, 32)]
+    for o in got[1:]:
+        assert (o.hashes == got[0].hashes).all() and (o.ranks == got[0].ranks).all() and (o.cells == got[0].cells).all()
+    assert 0 < len(got[0].hashes) <= 12 * 500
+    import numpy as np
+
+    counts = {}
+    for (x,) in data:
+        for t in set(x):
+            counts[t] = counts.get(t, 0) + 1
+    head = sorted((n, t) for t, n in counts.items() if n >= 6)
+    assert [t for _, t in head] == got[0].hashes[np.argsort(got[0].ranks)].tolist()
+    rare, often = min(counts, key=lambda t: (counts[t], t)), max((t for t in counts if counts[t] < 6), key=lambda t: counts[t])
+    assert got[0].rank(np.array([rare, often, head[-1][1]])).argsort().tolist() == [0, 1, 2]
+
+
+def test_links(spark):
+    texts = ["one two three four", "one two three four", "one two three four five", "six seven", None]
+    df = spark.createDataFrame([(str(i), t, "c") for i, t in enumerate(texts)] + [("0", texts[0], "c"), (None, "six seven", "c")], "id string, text string, class_id string")
+    got = {r["id"]: (r["class_id"], r["n_links"]) for r in fragments.links(df, "id").collect()}
+    assert {k: n for k, (_, n) in got.items()} == {"0": 1, "1": 1, "2": 1, "3": 0} and got["0"][0] == got["1"][0] != got["2"][0]
+    assert fragments.links(df.limit(0), "id").count() == 0
+
+
 def test_shingles(spark):
     df = spark.createDataFrame([("a b c d e f",), ("a b",), ("",), (None,)], "t string").select(F.size(fragments.shingle_tokens(F.col("t"))))
     assert [r[0] for r in df.collect()] == [2, 1, 0, 0]

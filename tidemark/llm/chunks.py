@@ -5,16 +5,20 @@ the chunks around it and no others, wherever it stands. Chunks are kept in one o
 short as the coverage threshold allows, so two records that share ``coverage`` of the longer one's bytes meet in it. The
 persistent table maps the chunks of all prefixes to records, hash-bucketed by chunk, with the bytes that stand before
 each. A batch looks its own prefixes up, sums shared bytes per pair, keeps pairs whose total can still reach the
-coverage, and compares only those texts exactly. Its chunks are then appended; history is never cut again.
+coverage, and compares only those texts exactly. Its chunks are then appended; history is never cut, sorted or shuffled
+again: a batch small enough to be sent scans the narrow columns it looks up, a large one is sent to the buckets.
 
 Texts can share most of their words and few of their chunks (words swapped, single words edited all over the text). So the
 same table also maps the distinct words of each text's word prefix, which is as long as ``least`` asks for: two texts that
 share ``least`` of their distinct words meet in it. Pairs come from either, and no pair at or above ``least`` is missed.
 
-The order is fixed when a table is begun, from the chunks frequent in the history; chunks first seen later count as rare.
+The order is fixed when a table is begun, from exact counts over the history; tokens first seen later count as rare. The
+table lives in its folder alone: bucket count, thresholds and order are stored with it, and any session can open it. Every
+row carries the number of the step that added it, and only steps with a commit marker are read, so a batch that failed
+half-way leaves nothing behind and can be checked again.
 
 Defined results: null ids or texts match nothing; texts without words match nothing; within one call, rows are ordered by
-``seq``, and a row is only held against earlier ones; repeated rows differ by ``seq``.
+``seq``, and a row is only held against earlier ones; repeated rows differ by ``seq``. Texts are keyed by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -34,8 +38,8 @@ from .charform import WORD_BREAK, skeleton
 
 WINDOW = 8
 #: Of 16 hash values, so many end a chunk at a blank.
-ENDS = 12
-COVERAGE = Fraction(1, 2)
+ENDS = 6
+COVERAGE = Fraction(2, 3)
 LEAST = Fraction(7, 10)
 BUCKETS = 16
 
@@ -113,18 +117,19 @@ def _prefix(row: np.ndarray, token: np.ndarray, size: np.ndarray, rank: np.ndarr
     return row[keep], token[keep], size[keep], before[keep], total
 
 
-def _prefixes(hashes: np.ndarray, ranks: np.ndarray, coverage: Fraction, least: Fraction):
+def _prefixes(shared, coverage: Fraction, least: Fraction):
     """(key, text) -> the chunks of the record's prefix, with the record's bytes and those before the chunk in the order; then the words of its word prefix, each of size 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: order.Order = shared.value
         for batch in batches:
             key = batch.column(0).to_numpy(zero_copy_only=False)
             row, chunk, size = cut_chunks(batch.column(1))
             word_row, word = _words(batch.column(1))
             bits = np.zeros(len(key), np.uint64)
             np.bitwise_or.at(bits, word_row, np.uint64(1) << (word.view(np.uint64) >> np.uint64(58)))
-            by_chunk = _prefix(row, chunk, size, order.rank_of(chunk, hashes, ranks), len(key), coverage)
-            by_word = _prefix(word_row, word, np.ones(len(word), np.int64), order.rank_of(word, hashes, ranks), len(key), least)
+            by_chunk = _prefix(row, chunk, size, known.rank(chunk), len(key), coverage)
+            by_word = _prefix(word_row, word, np.ones(len(word), np.int64), known.rank(word), len(key), least)
             row, token, size, before = (np.concatenate(x) for x in zip(by_chunk[:4], by_word[:4]))
             is_word = np.arange(len(row)) >= len(by_chunk[0])
             total = np.where(is_word, by_word[4][row], by_chunk[4][row])
@@ -148,9 +153,9 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.take(pa.array(np.sort(np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)[1])))
 
 
-def _texts(rows: DataFrame, buckets: int) -> DataFrame:
-    """(key, text in comparable form) of every distinct text, laid out by key in ``buckets`` parts."""
-    one = rows.select("key", "text").mapInArrow(_once, "key long, text string").repartition(buckets, "key").groupBy("key").agg(F.first("text").alias("text"))
+def _texts(rows: DataFrame) -> DataFrame:
+    """(key, text in comparable form) of every distinct text."""
+    one = rows.select("key", "text").mapInArrow(_once, "key long, text string").groupBy("key").agg(F.first("text").alias("text"))
     return one.select("key", comparable(F.col("text")).alias("text")).where("text <> ''")
 
 
@@ -162,62 +167,105 @@ def _first_two(seen: DataFrame) -> DataFrame:
     return first.join(other, "key", "left")
 
 
+BUCKETED = {"texts": ("key", "key long, text string, added int"), "postings": ("chunk", POSTING + ", added int")}
+
+
 class ChunkTable:
-    """The persistent chunk-to-record table of one collection, in the shared folder.
+    """The persistent chunk-to-record table of one collection, in a folder that all executors share.
 
     ``postings`` and ``texts`` (each distinct text once) are bucketed tables: a batch's chunks and keys are sent to the
     buckets, and the tables themselves are never shuffled. ``records`` has the rows by (id, tag, seq) and their text's key.
-    Word prefixes are cut for ``least``, the lowest share of words that can be asked for.
+    Word prefixes are cut for ``least``, the lowest share of words that can be asked for. Give ``begin`` a path of your own
+    for a table that is to outlive the session, and ``open`` it there.
     """
 
-    def __init__(self, spark: SparkSession, path: str, coverage: Fraction = COVERAGE, buckets: int | None = None, least: Fraction = LEAST):
-        self.spark, self.path, self.coverage, self.least = spark, path, coverage, least
-        # With fewer buckets than shuffle partitions Spark would shuffle the tables after all.
-        self.buckets = buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        self.name = f"chunks_{xxhash.xxh64_hexdigest(path)}"
+    def __init__(self, spark: SparkSession, path: str, buckets: int, coverage: Fraction, least: Fraction):
+        self.spark, self.path, self.buckets, self.coverage, self.least = spark, path.rstrip("/"), buckets, coverage, least
+        self.name = f"chunks_{xxhash.xxh64_hexdigest(self.path)}"
+        self._shared = None
         # Every step is written out, so its shuffle files can go when it ends instead of when the driver collects its garbage.
         spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+        for name, (by, columns) in BUCKETED.items():
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name}_{name} ({columns}) USING parquet OPTIONS (compression 'zstd') CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{self.path}/{name}'")
 
     @classmethod
-    def begin(cls, history: DataFrame, id_col: str, tag_col: str, text: str, seq: str, path: str | None = None, **options) -> ChunkTable:
-        """A new table holding ``history``."""
-        self = cls(history.sparkSession, path or scratch(history.sparkSession, "chunks"), **options)
+    def begin(cls, history: DataFrame, id_col: str, tag_col: str, text: str, seq: str, path: str | None = None, coverage: Fraction = COVERAGE, least: Fraction = LEAST, buckets: int | None = None) -> ChunkTable:
+        """A new table holding ``history``. With fewer buckets than shuffle partitions Spark would shuffle it for a large batch."""
+        spark = history.sparkSession
+        self = cls(spark, path or scratch(spark, "chunks"), buckets or max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))), coverage, least)
         rows = _rows(history, id_col, tag_col, text, seq)
-        self._write(rows.drop("text"), "records")
-        self._bucketed(_texts(rows, self.buckets), "texts", "key")
-        hashes, ranks = order.frequent_tokens(self._read("texts").select("text"), values=_values)
-        self._write(self.spark.createDataFrame(list(zip(hashes.tolist(), ranks.tolist())), "chunk long, rank long").coalesce(1), "order")
-        self._append(self._postings(self._read("texts")))
+        step = self._attempt()
+        self._write(rows.drop("text"), "records", step)
+        self._bucketed(_texts(rows), "texts", step)
+        found = order.order_of(self.spark.table(f"{self.name}_texts").select("text"), values=_values)
+        spark.createDataFrame(list(zip(found.hashes.tolist(), found.ranks.tolist())), "token long, rank long").coalesce(1).write.parquet(f"{self.path}/head")
+        spark.createDataFrame([(found.cells.tobytes(),)], "cells binary").write.parquet(f"{self.path}/cells")
+        self._bucketed(self._postings(self.spark.table(f"{self.name}_texts")), "postings", step)
+        meta = (self.buckets, coverage.numerator, coverage.denominator, least.numerator, least.denominator)
+        spark.createDataFrame([meta], "buckets int, c int, of int, l int, al int").coalesce(1).write.parquet(f"{self.path}/meta")
+        self._commit(step)
         return self
 
-    def _bucketed(self, df: DataFrame, name: str, by: str) -> None:
-        """Append to a table bucketed by ``by``; ``df`` must be laid out that way."""
-        df.write.mode("append").option("path", f"{self.path}/{name}").option("compression", "zstd").format("parquet").bucketBy(self.buckets, by).saveAsTable(f"{self.name}_{name}")
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> ChunkTable:
+        """The table in the folder ``path``, whatever session began it."""
+        m = spark.read.parquet(f"{path.rstrip('/')}/meta").first()
+        return cls(spark, path, m["buckets"], Fraction(m["c"], m["of"]), Fraction(m["l"], m["al"]))
+
+    def _fs(self, *names: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, "log", *names]))
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
+
+    def _logged(self) -> tuple[set[int], set[int]]:
+        """(steps begun, steps committed)."""
+        fs, where = self._fs()
+        names = [x.getPath().getName() for x in fs.listStatus(where)] if fs.exists(where) else []
+        pick = lambda kind: {int(n[len(kind) :]) for n in names if n.startswith(kind)}
+        return pick("begun-"), pick("done-")
+
+    def _attempt(self) -> int:
+        step = max(self._logged()[0], default=0) + 1
+        fs, where = self._fs(f"begun-{step}")
+        fs.create(where, False).close()
+        return step
+
+    def _commit(self, step: int) -> None:
+        fs, where = self._fs(f"done-{step}")
+        fs.create(where, True).close()
+
+    def _bucketed(self, df: DataFrame, name: str, step: int) -> None:
+        """Append rows to a bucketed table, one task a bucket."""
+        by, columns = BUCKETED[name]
+        df.withColumn("added", F.lit(step)).select(*[c.split(" ")[0] for c in columns.split(", ")]).repartition(self.buckets, by).write.mode("append").format("parquet").bucketBy(self.buckets, by).option("compression", "zstd").saveAsTable(f"{self.name}_{name}")
 
     def _read(self, name: str) -> DataFrame:
-        if name in ("texts", "postings"):
-            return self.spark.table(f"{self.name}_{name}")
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def _write(self, df: DataFrame, name: str) -> None:
-        df.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
-
-    def _order(self) -> tuple[np.ndarray, np.ndarray]:
-        found = self._read("order").toPandas().sort_values("chunk")
-        return found["chunk"].to_numpy(np.int64), found["rank"].to_numpy(np.int64)
+        begun, done = self._logged()
+        if name in BUCKETED:
+            found = self.spark.table(f"{self.name}_{name}")
+        else:
+            found = self.spark.read.parquet(f"{self.path}/{name}")
+        lost = sorted(begun - done)
+        return (found.where(~F.col("added").isin(lost)) if lost else found).drop("added")
+
+    def _write(self, df: DataFrame, name: str, step: int) -> None:
+        df.withColumn("added", F.lit(step)).write.mode("append").option("compression", "zstd").parquet(f"{self.path}/{name}")
+
+    def _order(self):
+        if self._shared is None:
+            head = self.spark.read.parquet(f"{self.path}/head").toPandas().sort_values("token")
+            cells = np.frombuffer(self.spark.read.parquet(f"{self.path}/cells").first()[0], np.int64)
+            self._shared = self.spark.sparkContext.broadcast(order.Order(head["token"].to_numpy(np.int64), head["rank"].to_numpy(np.int64), cells))
+        return self._shared
 
     def _postings(self, texts: DataFrame) -> DataFrame:
-        return texts.select("key", "text").mapInArrow(_prefixes(*self._order(), self.coverage, self.least), POSTING)
-
-    def _append(self, postings: DataFrame) -> None:
-        self._bucketed(postings.repartition(self.buckets, "chunk"), "postings", "chunk")
+        return texts.select("key", "text").mapInArrow(_prefixes(self._order(), self.coverage, self.least), POSTING)
 
     def check(self, batch: DataFrame, id_col: str, tag_col: str, text: str, seq: str, num: int = 7, den: int = 10) -> DataFrame:
         """(seq, dup_kind) of the batch's repeats, after which the batch belongs to the history. Several batches may be given as one: rows are ordered by ``seq``."""
         if Fraction(num, den) < self.least:
             raise ValueError(f"the table was begun for {self.least} of the words and more")
         rows = cut(_rows(batch, id_col, tag_col, text, seq), "batch")
-        texts = cut(_texts(rows, self.buckets), "batch_texts")
+        texts = cut(_texts(rows), "batch_texts")
         new = rows.drop("text")
         known = self._read("records").unionByName(new)
         fresh = cut(self._postings(texts), "fresh")
@@ -240,25 +288,27 @@ class ChunkTable:
         wanted = near.select(F.explode(F.array("x", "y")).alias("key")).distinct()
         known_texts = self._read("texts").join(wanted, "key", "left_semi")
         found = known_texts.unionByName(texts.join(wanted, "key", "left_semi").join(known_texts.select("key"), "key", "left_anti"))
-        sets = found.select("key", F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.xxhash64(w)).alias("w"))
+        sets = cut(found.select("key", F.transform(F.array_distinct(F.split("text", " ")), lambda w: F.xxhash64(w)).alias("w")), "sets")
         pairs = near.join(sets.select(F.col("key").alias("x"), F.col("w").alias("wx")), "x").join(sets.select(F.col("key").alias("y"), F.col("w").alias("wy")), "y")
         pairs = pairs.withColumn("both", F.size(F.array_intersect("wx", "wy"))).where(f"both * {num + den} >= {num} * (size(wx) + size(wy))").select("x", "y")
         own = texts.select(F.col("key").alias("x"), F.col("key").alias("y"))
         alike = cut(pairs.unionByName(own), "alike")
-        # Of all records alike to x, only the earliest and the earliest of another id can decide.
-        mine = alike.select(F.col("y").alias("key")).distinct()
-        seen = _first_two(known.select("key", "id", "seq").join(mine, "key", "left_semi"))
+        # Of all records alike to x, only the earliest and the earliest of another id can decide. The records are read once, for their keys and for their ids.
+        tagged = new.where("tag IS NOT NULL")
+        mine, ids = alike.select(F.col("y").alias("key"), F.lit(True).alias("by_key")).distinct(), tagged.select("id", F.lit(True).alias("by_id")).distinct()
+        touched = cut(known.join(mine, "key", "left").join(ids, "id", "left").where("by_key OR by_id"), "touched")
+        seen = _first_two(touched.where("by_key").select("key", "id", "seq"))
         entries = alike.join(seen.withColumnRenamed("key", "y"), "y").select(F.col("x").alias("key"), F.explode(F.array("first", "second")).alias("e")).where("e IS NOT NULL").select("key", "e.id", "e.seq")
         decided = _first_two(entries)
         by_text = new.join(decided, "key", "left").select("seq", F.expr("CASE WHEN first.id <> id THEN first.seq < seq ELSE coalesce(second.seq < seq, false) END").alias("text_dup"))
-        tagged = new.where("tag IS NOT NULL")
-        since = known.join(tagged.select("id").distinct(), "id", "left_semi").groupBy("id", "tag").agg(F.min("seq").alias("since"))
+        since = touched.where("by_id").groupBy("id", "tag").agg(F.min("seq").alias("since"))
         by_id = tagged.join(since, ["id", "tag"]).select("seq", (F.col("since") < F.col("seq")).alias("id_dup"))
         out = by_text.join(by_id, "seq", "left").select("seq", F.expr("CASE WHEN id_dup THEN 'id' WHEN text_dup THEN 'text' END").alias("dup_kind")).where("dup_kind IS NOT NULL")
         out = cut(out, "verdicts")
-        unseen = texts.join(self._read("texts").select("key"), "key", "left_anti").select("key")
-        unseen = cut(unseen, "unseen")
-        self._write(new, "records")
-        self._bucketed(texts.join(unseen, "key", "left_semi").repartition(self.buckets, "key"), "texts", "key")
-        self._append(fresh.join(unseen, "key", "left_semi"))
+        unseen = cut(texts.join(self._read("texts").select("key"), "key", "left_anti"), "unseen")
+        step = self._attempt()
+        self._write(new, "records", step)
+        self._bucketed(unseen, "texts", step)
+        self._bucketed(fresh.join(unseen.select("key"), "key", "left_semi"), "postings", step)
+        self._commit(step)
         return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,15 +74,24 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("a").alias("tweet_id_a"), F.col("b").alias("tweet_id_b"))
 
 
+def p6_links(spark: SparkSession, d: str) -> DataFrame:
+    """Each post with the class of its text and the number of other texts like it: the links without expanding copies."""
+    return fragments.links(table(spark, d, "tweets"), "tweet_id").withColumnRenamed("id", "tweet_id")
+
+
 def _post_text() -> Column:
     return F.coalesce("text_normalized", F.lower("text"))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """The batches one after the other, each held against the table that the history and the batches before it made."""
     columns = ("tweet_id", "source_hashtag", "post_text", "rec_id")
     known = chunks.ChunkTable.begin(table(spark, d, "tweets").withColumn("post_text", _post_text()), *columns)
-    found = known.check(table(spark, d, "tweet_batches").withColumn("post_text", _post_text()), *columns)
-    return found.select(F.col("seq").alias("rec_id"), "dup_kind")
+    batches = table(spark, d, "tweet_batches").withColumn("post_text", _post_text())
+    numbers = [r[0] for r in batches.select("batch_no").distinct().orderBy("batch_no").collect()]
+    found = [known.check(batches.where(F.col("batch_no").eqNullSafe(F.lit(n))), *columns) for n in numbers]
+    every = reduce(DataFrame.unionByName, found) if found else known.check(batches, *columns)
+    return every.select(F.col("seq").alias("rec_id"), "dup_kind")
 
 
 def _capacities(spark: SparkSession, d: str) -> list[tuple[int, int]]:
@@ -117,7 +128,7 @@ def p10_topics(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(model.report())
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p3_found, p3_masked, p5_found, p5_segments, p6_found, p7_found, p8_containers, p8_fill, p9_found, p9_clean, p10_found, p10_topics)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_canonical, p2_found, p2_scores, p2_incremental, p3_found, p3_masked, p5_found, p5_segments, p6_found, p6_links, p7_found, p8_containers, p8_fill, p9_found, p9_clean, p10_found, p10_topics)}
 
 _WIDE, _NORMAL = charform.WIDTH_FROM, charform.WIDTH_TO.replace("'", "''")
 
