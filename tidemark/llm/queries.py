@@ -83,15 +83,19 @@ def _post_text() -> Column:
     return F.coalesce("text_normalized", F.lower("text"))
 
 
+#: Batches that are given to the chunk table in one call; rows of a call are ordered by ``rec_id``.
+TOGETHER = 6
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    """The batches one after the other, each held against the table that the history and the batches before it made."""
+    """The batches in order, some in a call, each call held against the table that the history and the calls before it made."""
     columns = ("tweet_id", "source_hashtag", "post_text", "rec_id")
     known = chunks.ChunkTable.begin(table(spark, d, "tweets").withColumn("post_text", _post_text()), *columns)
     batches = table(spark, d, "tweet_batches").withColumn("post_text", _post_text())
-    numbers = [r[0] for r in batches.select("batch_no").distinct().orderBy("batch_no").collect()]
-    found = [known.check(batches.where(F.col("batch_no").eqNullSafe(F.lit(n))), *columns) for n in numbers]
-    every = reduce(DataFrame.unionByName, found) if found else known.check(batches, *columns)
-    return every.select(F.col("seq").alias("rec_id"), "dup_kind")
+    last = batches.agg(F.max("batch_no")).first()[0] or 1
+    call = F.coalesce(F.greatest(F.lit(1), F.col("batch_no")), F.lit(last))
+    found = [known.check(batches.where(call.between(n, n + TOGETHER - 1)), *columns) for n in range(1, last + 1, TOGETHER)]
+    return reduce(DataFrame.unionByName, found).select(F.col("seq").alias("rec_id"), "dup_kind")
 
 
 def _capacities(spark: SparkSession, d: str) -> list[tuple[int, int]]:
