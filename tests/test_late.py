@@ -62,8 +62,50 @@ def test_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(ROWS[4 * i : 4 * i + 4], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/part={i}")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
     seen = []
-    query, states = stream_late_aggregates(stream, LateAggregates(spark), COLUMNS, f"{tmp_path}/cp", upsert=lambda d, n: seen.append(d.count()))
+    query, now = stream_late_aggregates(stream, LateAggregates(spark, f"{tmp_path}/state"), COLUMNS, f"{tmp_path}/cp", upsert=lambda d, n: seen.append(d.count()))
     query.awaitTermination(60)
     query.stop()
-    assert len(states) > 2 and len(seen) == len(states) - 1
-    assert state_of(states[-1]) == state_of(LateAggregates(spark).apply(df, *COLUMNS))
+    assert now().version == len(seen) > 1
+    assert state_of(now()) == state_of(LateAggregates(spark).apply(df, *COLUMNS))
+
+
+def test_stream_goes_on_after_a_restart(spark, tmp_path):
+    """The second process has neither the first one's objects nor its counters: only folder and checkpoint."""
+    schema = spark.createDataFrame(ROWS, SCHEMA).schema
+
+    def run(rows, k):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/part={k}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        diverted = []
+        query, now = stream_late_aggregates(stream, LateAggregates.latest(spark, f"{tmp_path}/state"), COLUMNS, f"{tmp_path}/cp", divert=lambda d, n: diverted.extend(r["id"] for r in d.collect()))
+        query.awaitTermination(60)
+        query.stop()
+        return now(), diverted
+
+    first, gone = run(ROWS[:5], 0)
+    assert first.version == 1 and gone == ["5"]
+    second, gone = run(ROWS[5:], 1)
+    assert second.version == 2 and gone == []
+    assert state_of(second) == state_of(LateAggregates(spark).apply(spark.createDataFrame(ROWS, SCHEMA), *COLUMNS))
+
+
+def test_a_version_is_applied_once(spark, tmp_path):
+    s = LateAggregates(spark, f"{tmp_path}/s").apply(spark.createDataFrame(ROWS[:3], SCHEMA), *COLUMNS)
+    again = LateAggregates(spark, f"{tmp_path}/s").apply(spark.createDataFrame(ROWS, SCHEMA), *COLUMNS, version=1)
+    assert state_of(again) == state_of(s)
+    # A failed increment leaves files without a manifest: the next try writes them again.
+    spark.range(1).write.parquet(f"{tmp_path}/s/arrivals/version=2/day=2000-01-01")
+    t = s.apply(spark.createDataFrame(ROWS[3:], SCHEMA), *COLUMNS)
+    assert state_of(t) == state_of(LateAggregates(spark).apply(spark.createDataFrame(ROWS, SCHEMA), *COLUMNS))
+
+
+def test_only_touched_days_are_rewritten_and_old_ones_leave(spark, tmp_path):
+    day = timedelta(days=1)
+    old, new = row("1", END), row("2", END + 9 * day, event=T0 + 9 * day)
+    s = LateAggregates(spark, f"{tmp_path}/s", retain=5 * day).apply(spark.createDataFrame([old], SCHEMA), *COLUMNS)
+    t = s.apply(spark.createDataFrame([row("3", END + day, event=T0 + day)], SCHEMA), *COLUMNS)
+    assert t.manifest["arrivals"] == {"2026-01-05": 1, "2026-01-06": 2} == t.manifest["periods"]
+    u = t.apply(spark.createDataFrame([new], SCHEMA), *COLUMNS)
+    assert list(u.manifest["arrivals"]) == ["2026-01-14"] and len(u.manifest["periods"]) == 3
+    v = u.apply(spark.createDataFrame([row("9", END)], SCHEMA), *COLUMNS)
+    assert [r["id"] for r in v.diverted().collect()] == ["9"] and v.read("periods").count() == 3

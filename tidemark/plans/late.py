@@ -6,20 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.lateness import LateAggregates
-from ..session import table
+from ..session import scratch, table
+from ..streaming.late import stream_late_aggregates
 
 COLUMNS = ("tweet_id", "source_hashtag", "created_at", "collected_at", "likes")
 
 
+def _streamed(spark: SparkSession, d: str, name: str, state: LateAggregates) -> LateAggregates:
+    """The state after the table was read as a stream of its files."""
+    source = table(spark, d, name)
+    stream = spark.readStream.schema(source.schema).parquet(f"{d}/{name}.parque[t]").select(*COLUMNS)  # a pattern, as a stream takes a single file only by one
+    query, now = stream_late_aggregates(stream, state, COLUMNS, scratch(spark, "late-stream"))
+    query.awaitTermination()
+    return now()
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    state = LateAggregates(spark).apply(table(spark, d, "tweets").select(*COLUMNS), *COLUMNS)
-    found = state.read("arrivals").where("verdict <> 'on_time'")
+    found = _streamed(spark, d, "tweets", LateAggregates(spark)).read("arrivals").where("verdict <> 'on_time'")
     return found.select(F.col("id").alias("tweet_id"), F.col("key").alias("source_hashtag"), "verdict")
 
 
 def p4_periods(spark: SparkSession, d: str) -> DataFrame:
-    """The aggregates per tag and hour: first result, final result, posts left out; history and batches as two increments."""
-    state = LateAggregates(spark).apply(table(spark, d, "tweets").select(*COLUMNS), *COLUMNS).apply(table(spark, d, "tweet_batches").select(*COLUMNS), *COLUMNS)
+    """The aggregates per tag and hour: first result, final result, posts left out; history and batches as two streams into one state."""
+    state = _streamed(spark, d, "tweet_batches", _streamed(spark, d, "tweets", LateAggregates(spark)))
     return state.read("periods").select("key", "period_start", "first_count", "final_count", "final_amount", "dropped", "updated_at")
 
 
