@@ -83,3 +83,42 @@ def test_history_and_sinks(spark, tmp_path):
 def test_backfill_passes_the_same_dedup(spark):
     old, live = spark.createDataFrame([post(i) for i in range(6)], SCHEMA), spark.createDataFrame([post(i) for i in range(4, 9)], SCHEMA)
     assert state(spark).ingest(old, START).ingest(live, START).snapshot().first()["tweet_count"] == 9
+
+
+def test_state_goes_on_in_a_new_process(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    one = sealed.StreamingSignal(spark, ["nifty"], replace(Settings(), min_bucket_tweets=1), path)
+    one.ingest(spark.createDataFrame([post(1), post(2)], SCHEMA), START, number=0)
+    two = sealed.StreamingSignal(spark, ["nifty"], replace(Settings(), min_bucket_tweets=1), path)
+    two.ingest(spark.createDataFrame([post(1), post(2)], SCHEMA), START, number=0)  # the same micro-batch again
+    two.ingest(spark.createDataFrame([post(2), post(3)], SCHEMA), START, number=1)
+    assert two.snapshot().first()["tweet_count"] == 3 and two.version == 2
+
+
+def test_keys_beyond_the_horizon_are_dropped(spark):
+    s = state(spark, dedup_ttl_seconds=60).ingest(spark.createDataFrame([post(1)], SCHEMA), START)
+    s.ingest(spark.createDataFrame([post(2)], SCHEMA), START + timedelta(seconds=90))
+    assert [r["tweet_id"] for r in s._read("seen").collect()] == ["2"]
+    assert sealed.StreamingSignal(spark, ["nifty"]).snapshot().count() == 0
+
+
+def test_live_pipeline(spark, tmp_path):
+    spark.createDataFrame([post(i) for i in range(4, 9)], SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in")
+    times, seen = iter([START] * 3 + [START + timedelta(minutes=20)] * 3), []
+    q = sealed.run_live(stream, state(spark), lambda: next(times), f"{tmp_path}/history", f"{tmp_path}/cp", backfill=spark.createDataFrame([post(i) for i in range(6)], SCHEMA), sinks=[lambda d: seen.append([r["tweet_count"] for r in d.collect()])])
+    q.awaitTermination(60)
+    assert seen == [[], [9]] and history.sealed_history(spark, f"{tmp_path}/history", START, 24).first()["tweet_count"] == 9
+
+
+def test_high_water_marks(spark):
+    marks = spark.createDataFrame([("nifty", 5), ("gold", 1)], "source_hashtag string, last_id long")
+    new, after = sealed.newer_than_mark(spark.createDataFrame([post(4), post(7), post("x"), post(2, tag="sensex")], SCHEMA), marks)
+    assert sorted(r["tweet_id"] for r in new.collect()) == ["2", "7"]
+    assert {r[0]: r[1] for r in after.collect()} == {"nifty": 7, "gold": 1, "sensex": 2}
+
+
+def test_live_metrics(spark):
+    log = spark.createDataFrame([("a", START - timedelta(seconds=30 * k), k > 0) for k in range(20)], "source_hashtag string, collected_at timestamp, poll_ok boolean")
+    (r,) = sealed.live_metrics(log, START).collect()
+    assert (r["posts_per_minute"], r["poll_success"], r["stale_seconds"]) == (2.0, 0.95, 0.0)

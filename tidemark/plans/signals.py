@@ -246,6 +246,16 @@ def stream_sealed_counts(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema("hashtag string, bucket_start timestamp, tweet_count long, sentiment_coverage double").parquet(f"{path}/out")
 
 
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Posts a tag that pass the streaming dedup, the table read as a stream."""
+    path, source = scratch(spark, "dedup"), table(spark, d, "tweets")
+    stream = spark.readStream.schema(source.schema).parquet(f"{d}/tweets.parque[t]")
+    week = replace(Settings(), dedup_ttl_seconds=40 * 86_400)
+    out = sealed.deduplicated(stream, week).select("source_hashtag", "rec_id")
+    out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{path}/cp").option("path", f"{path}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("source_hashtag string, rec_id long").parquet(f"{path}/out").groupBy("source_hashtag").agg(F.count("*").alias("n"))
+
+
 def stream_signal(spark: SparkSession, d: str) -> DataFrame:
     """The exact streaming signal: history and batches as two increments, then all due buckets sealed."""
     state = sealed.StreamingSignal(spark, _targets(spark, d), replace(Settings(), bucket_minutes=60, dedup_ttl_seconds=10**8))
@@ -257,7 +267,7 @@ def stream_signal(spark: SparkSession, d: str) -> DataFrame:
 _FUNCTIONS = (
     clean_text, lang_hint, validate_rejects, valid_records, lookback_filter, dedup_two_tier, dedup_counts, market_hours, bucket_counts, virality_norm, momentum, sentiment_score, sentiment_coverage, composite_signal, signal_analytic_ci,
     signal_bootstrap_ci, signal_bootstrap_bounds, signal_summary, tfidf_weights, tfidf_top_terms, tfidf_sparsity, hashtag_mention_extract, parse_count, strip_markup, collection_window, stale_run_cutoff, engagement_distribution, reservoir_sample, display_time_ist,
-    distinct_target, collection_summary, ingest_metrics, signal_series, volume_series, engagement_sample, stream_sealed_counts, stream_signal,
+    distinct_target, collection_summary, ingest_metrics, signal_series, volume_series, engagement_sample, stream_sealed_counts, stream_dedup, stream_signal,
 )
 QUERIES = {f.__name__: f for f in _FUNCTIONS} | {"rollup_1h": _rollup("1 hour"), "rollup_1d": _rollup("1 day")}
 
@@ -367,6 +377,7 @@ def _oracle() -> dict[str, str]:
         "signal_analytic_ci": _signal_sql(15, True),
         "signal_bootstrap_bounds": f"SELECT hashtag, bucket_start, composite_signal, tweet_count, CASE WHEN tweet_count >= 5 THEN true END AS centred, CASE WHEN tweet_count >= 5 THEN true END AS wide_enough FROM ({_signal_sql(60, False)})",
         "signal_summary": "SELECT count(*) AS buckets, count(composite_signal) AS scored, count(*) - count(composite_signal) AS suppressed, count(DISTINCT hashtag) AS hashtags FROM signal_buckets",
+        "stream_dedup": "SELECT source_hashtag, count(DISTINCT coalesce(text_normalized, text) || chr(31) || username) AS n FROM tweets WHERE created_at IS NOT NULL GROUP BY ALL",
         "rollup_1h": _rollup_sql("1 HOUR"),
         "rollup_1d": _rollup_sql("1 DAY"),
         "tfidf_weights": _tfidf_sql() + "SELECT doc_id, term, tf, round(weight, 6) AS weight FROM weights",

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features, sampling
-
-SEALED = "hashtag string, bucket_start string, tweet_count int, sentiment_coverage double, sealed_at string, composite_signal double, ci_lower double, ci_upper double, suppressed boolean"
+from .sealed import SEALED
 
 
 def append_sealed(rows: DataFrame, path: str) -> None:
