@@ -112,7 +112,7 @@ def test_feeds(spark):
     df = spark.createDataFrame([(xml, "nifty"), ("<rss><broken", "nifty"), (None, "nifty")], "xml string, tag string")
     out = sorted(feeds.feed_posts(df, "xml", "tag", NOW).collect(), key=lambda r: r["tweet_id"])
     assert [(r["tweet_id"], r["username"], r["text"]) for r in out] == [("1", "user", "Buy #Nifty @a_b"), ("2", "u2", "from text")]
-    assert out[0]["hashtags"] == ["nifty"] and out[0]["mentions"] == ["a_b"] and out[0]["created_at"] == datetime(2026, 9, 8, 10)
+    assert out[0]["hashtags"] == ["nifty"] and out[0]["mentions"] == ["a_b"] and out[0]["collected_at"] == datetime(2026, 1, 7) and out[0]["text_normalized"] == "buy #nifty @a_b" and out[0]["created_at"] == datetime(2026, 9, 8, 10)
     assert out[1]["created_at"] == datetime(2026, 1, 7)
 
 
@@ -121,11 +121,43 @@ def test_cards(spark):
     <div class="tweet-content">Sell <a>#Nifty</a><a>@me</a><br>now</div>
     <span class="tweet-stat"><div class="icon-container"><span class="icon-comment"></span> 3</div></span><span class="tweet-stat"><div class="icon-container"><span class="icon-heart"></span> 1.2K</div></span></div>"""
     df = spark.createDataFrame([(card, "nifty"), ("<div>junk</div>", "nifty"), (None, "nifty")], "html string, tag string")
-    (r,) = feeds.card_posts(df, "html", "tag").collect()
+    (r,) = feeds.card_posts(df, "html", "tag", NOW).collect()
     assert (r["tweet_id"], r["username"], r["text"], r["likes"], r["retweets"], r["replies"]) == ("77", "who", "Sell #Nifty @me now", 1200, 0, 3)
 
 
 def test_api_posts(spark):
     df = spark.createDataFrame([("9", "2026-01-06 10:00:00", "u", "t", None, 2, None, ["#B", "a", "b"], ["z", "a", "z"])], "id_str string, date string, username string, rawContent string, likeCount int, retweetCount int, replyCount int, hashtags array<string>, mentions array<string>")
-    r = feeds.api_posts(df, F.lit("h")).first()
+    r = feeds.api_posts(df, F.lit("h"), NOW).first()
     assert (r["likes"], r["retweets"], r["replies"], r["hashtags"], r["mentions"]) == (0, 2, 0, ["a", "b"], ["a", "z"])
+
+
+def test_api_objects_with_nested_users(spark):
+    df = spark.createDataFrame([(None, 9, "2026-01-06 10:00:00", ("u",), "See https://x.y NOW", [("b",), ("a",)])], "id_str string, id long, date string, user struct<username: string>, rawContent string, mentionedUsers array<struct<username: string>>")
+    r = feeds.api_posts(df, F.lit("h"), NOW).first()
+    assert (r["tweet_id"], r["username"], r["mentions"], r["hashtags"], r["likes"], r["text_normalized"]) == ("9", "u", ["a", "b"], [], 0, "see now")
+
+
+def test_what_is_parsed_passes_validation(spark):
+    """A parsed row, written as JSON and read as a raw record, is valid."""
+    df = spark.createDataFrame([("9", "2026-01-06 10:00:00+00:00", "u", "hello")], "id_str string, date string, username string, rawContent string")
+    lines = feeds.api_posts(df, F.lit("h"), NOW).select(F.to_json(F.struct(*[F.col(c) for c in feeds._COLUMNS]), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX"}).alias("raw_line"))
+    assert [r["outcome"] for r in records.classify(records.clean(records.parse(lines))).collect()] == ["valid"]
+
+
+def test_collector_key(spark):
+    df = spark.createDataFrame([("Buy  NOW https://x.y", "u", "h"), ("buy now", "u", "h"), ("buy now", "v", "h"), (None, "u", "h")], "t string, u string, h string")
+    keys = [r[0] for r in df.select(dedup.near_duplicate_key(F.col("t"), F.col("u"), F.col("h"))).collect()]
+    assert keys[0] == keys[1] and len(set(keys)) == 3
+
+
+def test_raw_signals_and_log_lines(spark, tmp_path):
+    import json
+
+    df = spark.createDataFrame([("a", "1"), ("b", "2")], "source_hashtag string, tweet_id string")
+    for run in ("r1", "r2"):
+        store.append_raw(df, f"{tmp_path}/raw", run)
+    assert spark.read.json(f"{tmp_path}/raw").count() == 4
+    for _ in range(2):
+        store.write_signals(df, {"1 hour": df.limit(1)}, f"{tmp_path}/s")
+    assert spark.read.parquet(f"{tmp_path}/s/signals").count() == 2 and spark.read.parquet(f"{tmp_path}/s/rollup_1_hour").count() == 1
+    assert json.loads(store.log_line("done", rows=3))["rows"] == 3

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import content_hash
+from ..functions.text import clean_text, content_hash, normalize_for_features
 
 
 def first_rows(df: DataFrame, key: Column, ordinal: str) -> DataFrame:
@@ -27,6 +27,5 @@ def dedup_records(df: DataFrame, fields: tuple[str, ...], ordinal: str, id_col:
 
 
 def near_duplicate_key(text: Column, username: Column, tag: Column) -> Column:
-    from ..functions.text import clean_text, normalize_for_features
-
+    """The collector's key: cleaned lower-case text, user and tag."""
     return content_hash(normalize_for_features(clean_text(text)), username, tag)

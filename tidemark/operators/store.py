@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,7 +50,9 @@ def backfill(spark: SparkSession, path: str, now: datetime, hours: float) -> Dat
     """The last ``hours`` of the processed table; a missing or empty folder has no rows. The date partitions are pruned."""
     try:
         table = read_processed(spark, path)
-    except Exception:  # the folder is missing or unreadable
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RECORD)
     cutoff = F.lit(now) - F.make_dt_interval(secs=F.lit(hours * 3600.0))
     return table.where((F.col("date") >= F.date_format(cutoff, "yyyy-MM-dd")) & (F.col("created_at") >= cutoff)).select(*FIELDS)
@@ -78,5 +80,18 @@ def write_run_summary(folder: str, phase: str, summary: dict) -> str:
     return path
 
 
-def drop_directory(path: str) -> None:
-    shutil.rmtree(path, ignore_errors=True)
+def append_raw(df: DataFrame, folder: str, run: str) -> None:
+    """Add a run's raw records as JSON lines, a folder per tag and run."""
+    df.withColumns({"tag": F.col("source_hashtag"), "run": F.lit(run)}).write.mode("append").partitionBy("tag", "run").json(folder)
+
+
+def write_signals(signals: DataFrame, rollups: dict[str, DataFrame], folder: str) -> None:
+    """Replace the signals and every rollup window's table, each as a whole."""
+    for name, df in {"signals": signals, **{f"rollup_{k.replace(' ', '_')}": v for k, v in rollups.items()}}.items():
+        df.write.mode("overwrite").parquet(f"{folder}/.{name}.tmp")
+        replace_directory(df.sparkSession, f"{folder}/.{name}.tmp", f"{folder}/{name}")
+
+
+def log_line(message: str, level: str = "INFO", **fields) -> str:
+    """One structured log line: time, level, message and the extra fields, as JSON."""
+    return json.dumps({"timestamp": datetime.now(timezone.utc).isoformat(), "level": level, "message": message, **fields}, default=str, ensure_ascii=False)
