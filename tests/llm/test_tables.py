@@ -250,6 +250,35 @@ def test_every_repeated_sentence_starts_a_topic(spark):
     assert model.logphi.shape[1] >= len(kinds) + len(GREETING) + topics.FREE_TOPICS
 
 
+def test_distinct_sentences_give_the_same_inference():
+    rng = np.random.default_rng(3)
+    kinds = [rng.integers(0, 50, rng.integers(1, 9)) for _ in range(12)] + [np.array([3, 4]), np.array([4, 3]), np.array([3])]
+    picks = [kinds[i] for i in rng.integers(0, len(kinds), 90)]
+    words, sentence = np.concatenate(picks), np.repeat(np.arange(90), [len(p) for p in picks])
+    document = np.sort(rng.integers(0, 20, 90))
+    logphi = np.log(rng.dirichlet(np.ones(50), 6).T).astype(np.float32)
+    part = topics.distinct(words, sentence, document)
+    assert len(set(part.owner)) == len({tuple(p) for p in picks})
+    assert all((part.words[part.owner == part.which[i]] == p).all() for i, p in enumerate(picks))
+    every = topics.Batch(words, sentence, np.arange(90), document)
+    (a, x), (b, y) = topics.infer(logphi, part), topics.infer(logphi, every)
+    assert np.allclose(a, b, atol=1e-5) and abs(x - y) < 1e-2
+
+
+def test_subjects_come_from_the_list(spark):
+    """A subject without a labelled document comes in by its description; labels of subjects that aren't listed are left out."""
+    docs, labels = _documents(400, 5)
+    df = spark.createDataFrame([d[:3] for d in docs], "doc_id long, text string, lang string")
+    lab = spark.createDataFrame([x for x in labels if x[1] != "sport"] + [(0, "gossip")], "doc_id long, subject string")
+    areas = spark.createDataFrame([("law", "courts"), ("science", None), ("sport", "match goal team coach league referee"), (None, "x")], "subject string, description string")
+    model, numbered = topics.fit(df, lab, areas=areas)
+    got = topics.assign(model, numbered).toPandas()
+    assert set(got.subject) == {"law", "science", "sport"} and model.passes < topics.PASSES
+    want = {d[0] for d in docs if "sport" in d[4]}
+    found = set(got[got.subject == "sport"].id)
+    assert len(want & found) >= 0.9 * len(want) and len(found - want) <= 0.1 * len(found)
+
+
 def test_topics_without_labels_or_documents(spark):
     docs, labels = _documents(30)
     df = spark.createDataFrame([d[:3] for d in docs], "doc_id long, text string, lang string")

@@ -122,13 +122,13 @@ def p9_clean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    model, numbered = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+    model, numbered = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"), areas=table(spark, d, "subject_areas"))
     return topics.assign(model, numbered).select(F.col("id").alias("doc_id"), "subject").distinct()
 
 
 def p10_topics(spark: SparkSession, d: str) -> DataFrame:
     """Every topic with its subject and top terms, for inspection."""
-    model, _ = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"))
+    model, _ = topics.fit(table(spark, d, "documents"), table(spark, d, "doc_labels"), areas=table(spark, d, "subject_areas"))
     return spark.createDataFrame(model.report())
 
 
