@@ -54,6 +54,21 @@ def test_signed_deltas_equal_a_new_count(spark):
     assert lift.count() == 0
 
 
+def test_a_delta_rewrites_the_buckets_it_touches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cooccur, "ROWS", 4)
+    data = [(str(i), [f"a{i % 12}", f"b{i % 12}"], f"c{i % 12}") for i in range(60)]
+    one = cooccur.PairTable(spark, f"{tmp_path}/t").apply(_baskets(spark, data))
+    assert one.manifest["buckets"] == 9
+    changed = [("99", ["a0", "b0"], "b0")]
+    two = cooccur.PairTable.latest(spark, f"{tmp_path}/t").apply(_baskets(spark, changed))
+    assert _scores(two) == _brute(data + changed)
+    assert [list(two.manifest[t].values()).count(2) for t in ("baskets", "counts")] == [1, 1] and 1 <= list(two.manifest["scores"].values()).count(2) <= 3
+    # A step that failed leaves files and no manifest: the table is what it was.
+    spark.range(1).write.parquet(f"{tmp_path}/t/counts/version=3/bucket=0")
+    again = cooccur.PairTable.latest(spark, f"{tmp_path}/t")
+    assert again.version == 2 and _scores(again.apply(_baskets(spark, []))) == _brute(data + changed)
+
+
 def test_associated_and_empty(spark):
     data = [(str(i), ["a", "b"] if i < 10 else ["c"], "x") for i in range(100)]
     assert rows(cooccur.PairTable(spark).apply(_baskets(spark, data)).associated().select("tag_a", "tag_b")) == [("a", "b")]

@@ -24,22 +24,33 @@ def _baskets(df: DataFrame) -> DataFrame:
     return cooccur.baskets(df, "tweet_id", F.col("hashtags"), F.array("source_hashtag"))
 
 
+def _with_delta(state: cooccur.PairTable, first: DataFrame, new: DataFrame) -> cooccur.PairTable:
+    """``state`` of the rows ``first`` after the rows ``new``: the baskets that occur in them change."""
+    columns = ("tweet_id", "hashtags", "source_hashtag")
+    merged = first.select(*columns).join(new.select("tweet_id").distinct(), "tweet_id", "left_semi").unionByName(new.select(*columns))
+    return state.apply(_baskets(merged))
+
+
+def _pair_table(spark: SparkSession, d: str) -> cooccur.PairTable:
+    """The posts in two steps, as they came: the first half is loaded, the second changes it by signed deltas."""
+    posts = table(spark, d, "tweets")
+    middle = posts.agg(((F.min("rec_id") + F.max("rec_id")) / 2).cast("long")).first()[0] or 0
+    first, new = posts.where(F.col("rec_id") <= middle), posts.where(F.coalesce(F.col("rec_id") > middle, F.lit(True)))
+    return _with_delta(cooccur.PairTable(spark).apply(_baskets(first)), first, new)
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return cooccur.PairTable(spark).apply(_baskets(table(spark, d, "tweets"))).associated().select("tag_a", "tag_b")
+    return _pair_table(spark, d).associated().select("tag_a", "tag_b")
 
 
 def p2_scores(spark: SparkSession, d: str) -> DataFrame:
     """All pairs with their counts and lift."""
-    found = cooccur.PairTable(spark).apply(_baskets(table(spark, d, "tweets"))).scores()
-    return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
+    return _pair_table(spark, d).scores().select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
 
 
 def p2_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """The same after the batches came as a second delta."""
-    first, new = table(spark, d, "tweets"), table(spark, d, "tweet_batches")
-    state = cooccur.PairTable(spark).apply(_baskets(first))
-    merged = first.select("tweet_id", "hashtags", "source_hashtag").join(new.select("tweet_id").distinct(), "tweet_id", "left_semi").unionByName(new.select("tweet_id", "hashtags", "source_hashtag"))
-    found = state.apply(_baskets(merged)).scores()
+    """The same after the batches came as a further delta."""
+    found = _with_delta(_pair_table(spark, d), table(spark, d, "tweets"), table(spark, d, "tweet_batches")).scores()
     return found.select("tag_a", "tag_b", "n", "n_a", "n_b", "n_baskets", F.round("lift", 6).alias("lift"))
 
 
