@@ -1,7 +1,7 @@
 """Personal information in free text, by a semi-Markov conditional random field (problem 3).
 
-Candidate segments of every type are proposed wherever a pattern or the list of known names gives reason, with all their
-possible boundaries. Features of the whole span (shape, length, known parts, endings, what stands before and after) score
+Candidate segments of every type are proposed wherever a pattern, the list of known names or the writing of two words as a
+name gives reason, with all their possible boundaries. Features of the whole span (shape, length, known parts, endings, what stands before and after) score
 each one; dynamic programming over the lattice of candidates picks the set of segments that don't overlap with the highest
 total, so boundaries and types are decided jointly. Text between segments scores 0. Segments are bounded, so decoding is
 linear in the text. Weights are fitted by the conditional likelihood of whole segmentations (forward and backward sums
@@ -56,6 +56,7 @@ PHONES = [
     ("five", re.compile(r"(?<![\w.,+\-])\d{5}[ \-]\d{5}(?![\w\-])(?!\.\d)")),
     ("uk", re.compile(r"(?<![\w.,+\-])(?<!\d )0\d{4} ?\d{3} ?\d{3}(?![\w\-])(?!\.\d)")),
     ("ten", re.compile(r"(?<![\w.,+\-])\d{10,11}(?![\w\-])(?!\.\d)")),
+    ("trunk", re.compile(r"(?<![\w.,+\-])(?<!\d )0[1-9]\d{1,3}[ \-]\d{3,4}[ \-]\d{3,4}(?![\w\-])(?!\.\d)(?! \d)")),
 ]
 IDS = [
     ("twelve", re.compile(r"(?<![\w.,+\-])\d{12}(?![\w\-])(?!\.\d)")),
@@ -63,25 +64,27 @@ IDS = [
     ("ssn", re.compile(r"(?<![\w.,+\-])\d{3}-\d{2}-\d{4}(?![\w\-])")),
     ("pan", re.compile(r"(?i)(?<![\w$#@.])[a-z]{5}\d{4}[a-z](?!\w)")),
     ("letters", re.compile(r"(?i)(?<![\w$#@.])[a-z]{1,2}\d{6,8}(?!\w)")),
-    ("ten", PHONES[-1][1]),
+    ("ten", dict(PHONES)["ten"]),
     ("pair", re.compile(r"(?<![\w.,+\-])\d{4}-\d{4}(?![\w\-])")),
 ]
 _HEAD = r"(?:(?:flat|house|plot|door|apartment|apt|h\.?\s?no|मकान|फ्लैट|फ़्लैट|प्लॉट|घर|casa|piso)\.?\s*(?:no|nº|number|नं|संख्या)?\.?\s*)"
-_TYPE = r"(?:street|st\.?|road|rd\.?|avenue|ave\.?|lane|ln|marg|gali|cross|nagar|colony|drive|sector \d+|गली \d+|मार्ग|नगर|सेक्टर \d+)"
+_TYPE = r"(?:street|st\.?|road|rd\.?|avenue|ave\.?|boulevard|blvd\.?|lane|ln|way|terrace|square|marg|gali|cross|nagar|colony|drive|sector \d+|गली \d+|मार्ग|नगर|सेक्टर \d+)"
 _TOWN = r"[^\W\d_][\wऀ-ॣ'’]*"
-ADDRESS = re.compile(rf"(?i)(?<![\w.,@#$/\-])(?:{_HEAD}\d+[a-z]?(?:/\d+)?|\d{{1,4}}(?:/\d+)?)(?P<mid>,? (?:[^\W_][\wऀ-ॣ.]* ){{0,4}}{_TYPE}(?:, (?:near|opp|opposite|behind|beside)\.? (?:[\w]+ ){{0,4}}[\w]+)?),? ?(?P<town>{_TOWN}(?: {_TOWN})?)?(?P<code> ?[\-,]? ?\d{{3}} ?\d{{3}}(?![\d.,]))?")
+ADDRESS = re.compile(rf"(?i)(?<![\w.,@#$/\-])(?:{_HEAD}\d+[a-z]?(?:/\d+)?|\d{{1,4}}(?:/\d+)?)(?P<mid>,? (?:[^\W_][\wऀ-ॣ.]* ){{0,4}}{_TYPE}(?:, (?:near|opp|opposite|behind|beside)\.? (?:[\w]+ ){{0,4}}[\w]+)?),? ?(?P<town>{_TOWN}(?: {_TOWN})?)?(?P<code> ?[\-,]? ?(?:\d{{3}} ?\d{{3}}|\d{{5}})(?![\d.,]))?")
 _WORD = re.compile(r"[^\W\d_](?:[\wऀ-ॣ'’])*\.?")
 NAME_TITLES = {"mr", "mrs", "ms", "dr", "shri", "smt", "prof", "sir", "madam", "sr", "sra", "श्री", "श्रीमती"}
 PHONE_CUES = {"call", "dial", "phone", "mobile", "whatsapp", "line", "number", "ring", "ringing", "rings", "text", "tel", "cell", "contact", "llamen", "llama", "número", "numero", "teléfono", "फोन", "फ़ोन", "नंबर", "मोबाइल", "karo", "करें"}
 ID_CUES = {"aadhaar", "aadhar", "pan", "passport", "tax", "code", "ssn", "kyc", "id", "identity", "documento", "pasaporte", "dni", "nif", "आधार", "पैन", "पासपोर्ट", "leaked", "licence", "national"}
 NUMBER_CUES = {"order", "ref", "reference", "ticket", "contract", "oi", "volume", "invoice", "txn", "shares", "vwap", "pivot", "signal", "alert", "delivery", "lot", "no", "crossed", "traded", "r1", "r2", "s1", "bid", "close", "orden", "pedido", "settled", "filled", "t+1", "expired", "pedido", "batch"}
 ADDRESS_CUES = {"at", "to", "address", "live", "lives", "moved", "meetup", "courier", "papers", "parcel", "office", "rent", "goes", "pata", "kagaz", "पता", "कागज़", "dirección", "vivo", "en"}
-NAME_BEFORE = {"with", "against", "to", "by", "from", "wale", "con", "a", "से", "thanks", "mr", "mrs", "ms", "dr", "shri", "smt", "client", "manager"}
-NAME_AFTER = {"ji", "जी", "ne", "ने", "confirmed", "from", "called", "yesterday", "for", "this", "por", "ayer", "se", "said", "told", "says", "the"}
+HONORIFICS = {"ji", "जी", "saab", "sahab", "साहब"}
+NAME_BEFORE = {"with", "against", "to", "by", "from", "wale", "con", "a", "से", "thanks", "mr", "mrs", "ms", "dr", "shri", "smt", "client", "manager", "met", "colleague", "friend", "neighbour", "meet", "and"}
+NAME_AFTER = {"ji", "जी", "ne", "ने", "confirmed", "from", "called", "yesterday", "for", "this", "por", "ayer", "se", "said", "told", "says", "the", "at", "will", "has", "was", "is"}
 
+_BESIDE = NAME_BEFORE | NAME_AFTER
 #: What every match of the patterns above holds, without what must stand around it: cheap to look for, and never absent from a match.
 EMAIL_MARK = re.compile(rf"(?i)[\w.+\-](?:@|{_AT}|\s?[\[({{]at[\])}}]\s?)[a-z0-9]")
-NUMBER_MARK = re.compile(r"(?i)\+\d|(?<![\w.,+])00\d|\(\d{3}\)|\d{3}[\-. ]\d{3}[\-. ]\d{4}|\d{5}[ \-]\d{5}|0\d{4} ?\d{3} ?\d{3}|\d{10}|\d{4}[ \-]\d{4}|\d{3}-\d\d-\d{4}|[a-z]{5}\d{4}[a-z]|[a-z]{1,2}\d{6}")
+NUMBER_MARK = re.compile(r"(?i)\+\d|(?<![\w.,+])00\d|\(\d{3}\)|\d{3}[\-. ]\d{3}[\-. ]\d{4}|\d{5}[ \-]\d{5}|0\d{4} ?\d{3} ?\d{3}|0\d{2,4}[ \-]\d{3,4}[ \-]\d{3,4}|\d{10}|\d{4}[ \-]\d{4}|\d{3}-\d\d-\d{4}|[a-z]{5}\d{4}[a-z]|[a-z]{1,2}\d{6}")
 ADDRESS_MARK = re.compile(rf"(?i) {_TYPE}")
 
 
@@ -188,10 +191,18 @@ def candidates(text: str, names: Names, drop: frozenset[str] = frozenset()) -> l
                 break
             first, last = form(i, names.given, names.given_ends), form(j, names.family, names.family_ends)
             prior, later = lows[i - 1] if i else "", lows[j + 1] if j + 1 < len(words) else ""
-            if "known" not in (first, last) and not (first == last == "ending") and not (prior in NAME_TITLES or later in ("ji", "जी") or (prior, later) in (("से", "ने"), ("wale", "ne"))):
+            # A word that names stand beside is no part of one, unless it is listed as a name.
+            if any(lows[k] in _BESIDE and form_ != "known" for k, form_ in ((i, first), (j, last))):
                 continue
+            # Words that neither the lists nor two endings speak for are proposed where they are written as names are, or where names stand; context decides.
+            if "known" not in (first, last) and not (first == last == "ending"):
+                ends = (words[i][2], words[j][2])
+                written = all(w[0] != w[0].lower() and w[1:].islower() for w in ends)
+                caseless = all(w.lower() == w.upper() for w in ends)
+                if not (written or prior in NAME_TITLES or later in HONORIFICS or (caseless and prior in NAME_BEFORE and later in NAME_AFTER) or (prior, later) == ("wale", "ne")):
+                    continue
             end = words[j][1] - words[j][2].endswith(".")
-            if end < len(text) and text[end] in "@_+" or words[i][2].endswith("."):
+            if end < len(text) and text[end] in "@_+" or words[i][2].endswith(".") or (n == 3 and words[i + 1][2].endswith(".") and len(words[i + 1][2]) > 2):
                 continue
             feats = ["name", f"name:{n}", f"name:first {first}", f"name:last {last}", f"name:{first}+{last}"]
             if n == 3:
@@ -287,11 +298,12 @@ def training_sentences(names: Names, n: int = 1500, seed: int = 5) -> list[tuple
 
     def name() -> str:
         mid = pick(["", "", "", f"{letters(1).upper()}. ", pick(given).title() + " "])
-        x = f"{pick(given).title()} {mid}{pick(family).title()}"
+        known = rng.random() > 0.2  # else a name from no list
+        x = f"{pick(given).title()} {mid}{pick(family).title()}" if known else f"{letters(int(rng.integers(4, 9))).title()} {mid if mid.endswith('. ') else ''}{letters(int(rng.integers(5, 11))).title()}"
         return pick([x, x, x, x, x.upper(), x.lower()])
 
     def phone() -> str:
-        return pick([f"+91 {digits(5)} {digits(5)}", f"+91-{digits(10)}", f"0091 {digits(2)} {digits(4)} {digits(4)}", f"00{digits(2)} {digits(4)} {digits(4)}", f"07{digits(3)} {digits(6)}", f"+44 7{digits(3)} {digits(3)} {digits(3)}", f"1-{digits(3)}-{digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", digits(10), f"{digits(5)}-{digits(5)}", f"{digits(5)} {digits(5)}"])
+        return pick([f"+91 {digits(5)} {digits(5)}", f"+91-{digits(10)}", f"0091 {digits(2)} {digits(4)} {digits(4)}", f"00{digits(2)} {digits(4)} {digits(4)}", f"07{digits(3)} {digits(6)}", f"+44 7{digits(3)} {digits(3)} {digits(3)}", f"1-{digits(3)}-{digits(3)}-{digits(4)}", f"({digits(3)}) {digits(3)}-{digits(4)}", f"0{pick('123456789')}{digits(1)} {digits(4)} {digits(4)}", f"{digits(3)}.{digits(3)}.{digits(4)}", digits(10), f"{digits(5)}-{digits(5)}", f"{digits(5)} {digits(5)}"])
 
     def number() -> str:
         x = pick([digits(12), f"00{digits(10)}", f"00{digits(2)} {digits(4)} {digits(4)}", f"{digits(4)} {digits(4)} {digits(4)}", f"{digits(4)}-{digits(4)}-{digits(4)}", f"{digits(3)}-{digits(2)}-{digits(4)}", letters(5).upper() + digits(4) + letters(1).upper(), letters(1).upper() + digits(7), letters(2).upper() + digits(6)])
@@ -303,22 +315,23 @@ def training_sentences(names: Names, n: int = 1500, seed: int = 5) -> list[tuple
         return pick([f"{user}@{host}", f"{user} at {host.replace('.', ' dot ')}", f"{user} [at] {host.replace('.', ' [dot] ')}", f"{user}@{host}".upper()])
 
     def address() -> str:
-        kind, town, code = pick(["Street", "Road", "Rd", "St.", "Lane", "Avenue", "Marg"]), pick(towns), digits(6)
+        kind, town, code = pick(["Street", "Road", "Rd", "St.", "Lane", "Avenue", "Marg", "Boulevard", "Way"]), pick(towns), digits(6)
         street = f"{pick(streets)} {kind}"
-        return pick([f"{digits(3)} {street}, {town} {code}", f"Flat {digits(2)}B, {digits(2)} {street}, {town}", f"door {digits(3)}, {street}, {town}-{code}", f"H.No. {digits(3)}, {street.lower()}, {town}", f"Plot No. {digits(3)}, Sector {digits(2)}, {town} - {code[:3]} {code[3:]}", f"{digits(3)}/{digits(1)} {street}, near the old mill, {town} {code}", f"मकान नं. {digits(3)}, गली {digits(2)}, सागरपुर"])
+        return pick([f"{digits(3)} {street}, {town} {code}", f"Flat {digits(2)}B, {digits(2)} {street}, {town}", f"{digits(2)} {street}, {town} {digits(5)}", f"door {digits(3)}, {street}, {town}-{code}", f"H.No. {digits(3)}, {street.lower()}, {town}", f"Plot No. {digits(3)}, Sector {digits(2)}, {town} - {code[:3]} {code[3:]}", f"{digits(3)}/{digits(1)} {street}, near the old mill, {town} {code}", f"मकान नं. {digits(3)}, गली {digits(2)}, सागरपुर"])
 
     frames = {
         "email": ["please reply to {}", "my address is {} now", "send it to {} today.", "{} is the right mail."],
         "phone": ["call {} after six", "my number is {} now.", "whatsapp me on {} please", "mera number {} hai", "ring {} tomorrow", "फोन करें {} पर", "llamen al {} hoy.", "keep getting calls from {} daily"],
         "id_number": ["my passport {} was lost", "aadhaar {} does not match.", "tax code {} was refused", "pan {} galat hai", "आधार {} में गलती है", "mi documento {} fue rechazado", "kyc waits for {} again", "they leaked {} in the form"],
         "address": ["we moved to {} last month", "meet at {} on Monday.", "send the papers to {} today", "naya pata {} hai", "rent for {} every month"],
-        "name": ["spoke with {} this morning.", "Mr {} confirmed it", "complaint against {} yesterday", "thanks to {} for the help", "{} from the branch called", "{} ji se baat hui", "शाखा से {} ने बताया", "gracias a {} por todo"],
+        "name": ["spoke with {} this morning.", "Mr {} confirmed it", "complaint against {} yesterday", "thanks to {} for the help", "{} from the branch called", "{} ji se baat hui", "I met {} at the desk", "my colleague {} will answer", "got the file from {} again", "written by {} and filed", "({}) agreed", "a note of {}, they say", "{} was there", "शाखा से {} ने बताया", "gracias a {} por todo"],
     }
     make = {"email": email, "phone": phone, "id_number": number, "address": address, "name": name}
     neutral = [
         lambda: f"order {digits(4)} {digits(4)} {digits(4)} filled late", lambda: f"ref {digits(12)} settled T+1", lambda: f"ticket no {digits(4)}-{digits(4)} is open", lambda: f"contract NIF{digits(1)}FEB{digits(4)}CE expired",
         lambda: f"oi {digits(7)}.", lambda: f"volume was {digits(1)},{digits(3)},{digits(3)} shares by noon", lambda: f"Signal {digits(6)}: BUY Zelkora above {digits(4)}.{digits(2)}", lambda: f"$ZELKORA traded {digits(3)}.{digits(2)}, bid {digits(3)}.{digits(2)}",
-        lambda: "Zelkora Motors opens new outlets", lambda: f"lane {digits(1)} of the road story is priced in", lambda: f"sector {digits(1)} rotation is on", lambda: "@desk_owl12 says hold", lambda: f"order no {digits(10)} was cut", lambda: f"invoice {letters(2).upper()}{digits(6)} is paid",
+        lambda: "Zelkora Motors opens new outlets", lambda: f"{letters(6).title()} {pick(['Motors', 'Capital', 'Steel', 'Power', 'Finance', 'Cement'])} {pick(['gained', 'fell', 'opens new outlets', 'was flat', 'is weak'])}", lambda: pick(["Stay Light", "Book Half", "Small Caps", "Put Sellers", "Trade Plan", "Morning Note", "Bank Nifty"]) + pick([" today", " is the plan", " will see", ""]),
+        lambda: f"thanks to {letters(5).title()} {pick(['Capital', 'Research', 'Desk', 'Motors'])} for the chart", lambda: f"lane {digits(1)} of the road story is priced in", lambda: f"sector {digits(1)} rotation is on", lambda: "@desk_owl12 says hold", lambda: f"order no {digits(10)} was cut", lambda: f"invoice {letters(2).upper()}{digits(6)} is paid",
         lambda: f"R1 {digits(3)}.{digits(2)} R2 {digits(3)}.{digits(2)}", lambda: "call me maybe at support", lambda: f"thanks to {pick(given).title()} Capital for the notes", lambda: "spoke with the branch this morning",
     ]
     out = []
