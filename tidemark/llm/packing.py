@@ -28,16 +28,21 @@ MOST_BUCKETS = 128
 PART_ROWS = 500_000
 
 
-def token_counts(df: DataFrame, id_col: str, text: str, path: str = TOKENIZER) -> DataFrame:
-    """(id, n_tokens) by the byte-level BPE ranks in the file at ``path``, which every executor reads."""
+def token_counts(df: DataFrame, id_col: str, text: str, path: str = TOKENIZER, pattern: str | None = None) -> DataFrame:
+    """(id, n_tokens) by the byte-level BPE ranks in the file at ``path``, which every executor reads, and the regular expression that cuts texts first (by default the one published with the file)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import public_tokenizers
         import tiktoken
 
+        cuts = pattern
+        if cuts is None:
+            import public_tokenizers
+
+            cuts = public_tokenizers.PATTERN
+
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding("own", pat_str=cuts, mergeable_ranks=ranks, special_tokens={})
         for frame in frames:
             yield pd.DataFrame({"id": frame["id"], "n_tokens": [len(encoding.encode_ordinary(t)) if t else 0 for t in frame["text"]]})
 
@@ -74,7 +79,7 @@ def choose_buckets(sizes: np.ndarray, counts: np.ndarray, most: int = MOST_BUCKE
     return np.array(ends[::-1])
 
 
-def lay_out(ends: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[int, int, int, int, int]]:
+def lay_out(ends: np.ndarray, counts: np.ndarray, capacity: int, fill: bool = True) -> list[tuple[int, int, int, int, int]]:
     """(bucket, first rank, last rank + 1, slots of it in a container, first container) of every pattern, by bucket."""
     left, used, out, container = counts.astype(np.int64).copy(), np.zeros(len(counts), np.int64), [], 0
     while left.any():
@@ -84,6 +89,8 @@ def lay_out(ends: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[i
             if take:
                 pattern[k] = take
                 room -= take * int(ends[k])
+                if not fill:
+                    break
         times = min(int(left[k]) // t for k, t in pattern.items())
         for k, t in pattern.items():
             out.append((k, int(used[k]), int(used[k]) + t * times, t, container))
@@ -93,14 +100,14 @@ def lay_out(ends: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[i
     return out
 
 
-def pack(sizes: DataFrame, capacities: list[tuple[int, int]], id_col: str = "id", size: str = "n_tokens", most: int = MOST_BUCKETS) -> DataFrame:
-    """(pack_id, id, piece, n_tokens, container) of every piece of every item, for each (pack_id, capacity)."""
+def pack(sizes: DataFrame, capacities: list[tuple[int, int]], id_col: str = "id", size: str = "n_tokens", most: int = MOST_BUCKETS, fill: bool = True) -> DataFrame:
+    """(pack_id, id, piece, n_tokens, container) of every piece of every item, for each (pack_id, capacity). Without ``fill`` a container holds slots of one bucket only."""
     spark = sizes.sparkSession
     kind = sizes.schema[id_col].dataType.simpleString()
     if not capacities:
         return spark.createDataFrame([], f"pack_id int, id {kind}, piece int, n_tokens long, container long")
-    packs = F.broadcast(spark.createDataFrame(capacities, "pack_id int, capacity long"))
-    items = sizes.select(F.col(id_col).alias("id"), F.col(size).cast("long").alias("n")).join(packs)
+    packs = F.array(*(F.struct(F.lit(p).cast("int").alias("pack_id"), F.lit(c).cast("long").alias("capacity")) for p, c in capacities))
+    items = sizes.select(F.col(id_col).alias("id"), F.col(size).cast("long").alias("n"), F.explode(packs).alias("p")).select("p.pack_id", "p.capacity", "id", "n")
     # The rest of an item over the capacity, or all of it; 0 where the item fills its containers exactly.
     items = items.withColumn("full", F.expr("n div capacity")).withColumn("rest", F.expr("CASE WHEN n = 0 THEN 1 ELSE n % capacity END"))
     histogram = items.groupBy("pack_id", "capacity", "rest").agg(F.count("*").alias("c"), F.sum("full").alias("f")).toPandas()
@@ -113,7 +120,7 @@ def pack(sizes: DataFrame, capacities: list[tuple[int, int]], id_col: str = "id"
             ends = choose_buckets(sz, c, most)
             of = np.searchsorted(ends, sz)
             buckets += [(p, int(a), int(b)) for a, b in zip(sz, of)]
-            plan = lay_out(ends, np.bincount(of, c, len(ends)).astype(np.int64), capacity)
+            plan = lay_out(ends, np.bincount(of, c, len(ends)).astype(np.int64), capacity, fill)
             slots += [(p, *row) for row in plan]
             bases.append((p, max(x[4] + (x[2] - x[1]) // x[3] for x in plan)))
         else:
