@@ -206,6 +206,8 @@ def test_packing_holds_every_piece(spark):
         assert all(whole[i] == max(1, -(-n // capacity)) for i, n in sizes)
         assert not x.duplicated(["id", "piece"]).any()
         assert x.n_tokens.sum() / (x.container.nunique() * capacity) > 0.97
+    alone = packing.pack(df, [(1, 256)], fill=False).toPandas()
+    assert (alone.groupby("container").n_tokens.sum() <= 256).all() and alone.groupby("id").n_tokens.sum().to_dict() == dict(sizes)
     assert packing.pack(df.limit(0), [(1, 256)]).count() == 0 and packing.pack(df, []).count() == 0
 
 

@@ -232,6 +232,29 @@ def test_no_post_is_passed_over(finder):
     assert got == {t: [v] for t, v in texts.items()}
 
 
+def test_held_out_wording(finder):
+    """Values in sentences whose wording the training has not, names from no list among them; recall of each type, and silence where there is nothing."""
+    frames = {
+        "name": ["I met {} at the office", "my friend {} will reply tomorrow", "the complaint of Mr {} is open", "Dr {} has seen it", "we heard from {} today", "a letter by {} was read out", "thanks to {} this is solved"],
+        "phone": ["call {} tonight", "you can ring {} at noon", "their line is {} again", "please phone {} first", "contact {} for details"],
+        "email": ["ask {} about it", "copy {} please", "the sender was {} they say"],
+        "address": ["lives at {} since May", "the parcel goes to {} now", "our office: {}", "please courier it to {} today"],
+        "id_number": ["her passport {} expired", "the aadhaar was {} on the form", "pan {} is on file"],
+    }
+    values = {
+        "name": ["Bjorn Halvorsen", "Wojciech Kowalczyk", "Asha Verma", "Ravi Oduya", "Ingrid Menon"], "phone": ["020 7946 0958", "+91 98765 43210", "(212) 555-0199", "98765-43210", "+44 7911 123 456"], "email": ["r.iyer@desk.example", "k_menon [at] post [dot] test", "MEERA@MAIL.EXAMPLE"],
+        "address": ["12 Elm Boulevard, Oakville 90210", "Flat 9C, 17 Temple Road, Sagarpur", "Plot No. 81, Sector 12, Port Mira - 462 020", "44 Rose Garden Lane, Kettering 411001"], "id_number": ["2590 0056 9094", "ABCDE1234F", "K1234567"],
+    }
+    for kind, texts in frames.items():
+        fits = [(f.format(v), v) for f in texts for v in values[kind] if kind != "id_number" or ("pan" in f) == v.startswith("ABC") and ("aadhaar" in f) == v[0].isdigit()]
+        hits = [(kind, v) in {(t, x[a:b]) for a, b, t in pii.find(x, finder.model, NAMES)} for x, v in fits]
+        # Names of which the lists know at most a part are harder, most of all where companies are named in the same words.
+        listed = [h for h, (_, v) in zip(hits, fits) if kind != "name" or v == "Asha Verma"]
+        assert sum(listed) >= 0.9 * len(listed) and sum(hits) >= (0.75 if kind == "name" else 0.9) * len(hits), (kind, [x for (x, _), h in zip(fits, hits) if not h])
+    quiet = ["Zelkora Motors gained on volume", "Small Caps looked heavy again", "The Morning Note is out", "order 4411 2020 9090 filled", "volume was 1,234,567 shares by noon", "Stay Light overnight", "invoice AB123456 is paid"]
+    assert [x for x in quiet if pii.find(x, finder.model, NAMES)] == []
+
+
 def test_marks_stand_in_every_match():
     alphabet = ["0", "00", "5", "123", "4567", "+", "-", " ", " ", ".", ",", "(", ")", "[at]", "{at]", " at ", "@", "[dot]", " dot ", " arroba ", "a", "Bc", "xyzde", "Flat ", "मकान ", " Road", " गली 7", " nagar", "\n", "३"]
     rng, n = random.Random(9), dict.fromkeys(("mail", "number", "address"), 0)
@@ -286,5 +309,6 @@ def test_leaks_equal_brute_force(spark, most):
 def test_passages_are_cut_out(spark):
     items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     df = spark.createDataFrame([(1, f"Before. {ITEM} After."), (2, "Clean text."), (3, None)], "doc_id long, text string").withColumn("tm_doc", F.lit("c"))
-    got = {r["doc_id"]: r["text"] for r in leaks.without_passages(df, items).collect()}
-    assert got == {1: "Before. ? After.", 2: "Clean text.", 3: None}
+    for most in (leaks.MOST_WINDOWS, 3):
+        got = {r["doc_id"]: r["text"] for r in leaks.without_passages(df, items, most=most).collect()}
+        assert got == {1: "Before. ? After.", 2: "Clean text.", 3: None}

@@ -4,8 +4,9 @@ Items and documents are read as words: runs of letters and digits, with case and
 n-word windows of all items are sent to every task; documents are scanned window by window, and each hit is compared word
 by word with the item's window before it counts. Windows are only hashed where all their words occur in some item.
 
-The set sent is checked: beyond ``MOST_WINDOWS`` windows, document windows made of item words are joined with the item
-windows instead. Both ways give the same rows.
+The set sent is checked: beyond ``MOST_WINDOWS`` item words, the 8-byte hashes of all document windows are joined with those
+of the items instead, and only documents with a hash in common send their windows to be compared word by word. Both ways
+give the same rows. Words stand for themselves by 64-bit hashes throughout.
 
 Defined results: null and short texts (under n words) have no case; repeated documents or items each give their rows; a
 document with several passages of an item is one row.
@@ -87,13 +88,17 @@ def _scan(items: _Items, n: int):
     return run
 
 
-def _emit(vocabulary: np.ndarray, n: int):
+def _emit(n: int, whole: bool):
+    """(id, hash) of every window, or (id, window) with its words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words, row, _ = order.flat(batch.column(1))
-            starts, _ = _windows(words, row, _known(words, vocabulary) if vocabulary is not None else np.ones(len(words), bool), n)
-            window = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(starts) + 1) * n, n, dtype=np.int32)), pa.array(words[(starts[:, None] + np.arange(n)).ravel()]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[starts])), window], names=["id", "window"])
+            starts, hashes = _windows(words, row, np.ones(len(words), bool), n)
+            what = pa.array(hashes.view(np.int64))
+            if whole:
+                what = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(starts) + 1) * n, n, dtype=np.int32)), pa.array(words[(starts[:, None] + np.arange(n)).ravel()]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row[starts])), what], names=["id", "window"])
 
     return run
 
@@ -105,8 +110,11 @@ def leaked(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_
     size = tests.agg(F.sum(F.size("words"))).first()[0] or 0
     if size <= most:
         return docs.mapInArrow(_scan(_Items(tests.toPandas(), n), n), "doc_id long, item_id long").distinct()
-    windows = tests.mapInArrow(_emit(None, n), "id long, window array<long>").select(F.col("id").alias("item_id"), "window").distinct()
-    return docs.mapInArrow(_emit(None, n), "id long, window array<long>").select(F.col("id").alias("doc_id"), "window").join(windows, "window").select("doc_id", "item_id").distinct()
+    hashes = tests.mapInArrow(_emit(n, False), "id long, window long").select("window").distinct()
+    near = docs.mapInArrow(_emit(n, False), "id long, window long").join(hashes, "window", "left_semi").select(F.col("id").alias("doc_id")).distinct()
+    windows = tests.mapInArrow(_emit(n, True), "id long, window array<long>").select(F.col("id").alias("item_id"), "window").distinct()
+    found = docs.join(near, "doc_id", "left_semi").mapInArrow(_emit(n, True), "id long, window array<long>")
+    return found.select(F.col("id").alias("doc_id"), "window").join(windows, "window").select("doc_id", "item_id").distinct()
 
 
 _MAP = {ord(c): (TO[i] if i < len(TO) else None) for i, c in enumerate(FROM)}
@@ -129,22 +137,28 @@ def _spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def without_passages(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = WORDS) -> DataFrame:
-    """``documents`` with every passage of ``n`` or more item words cut out of ``text``. Only documents with a leak are rewritten; items must be few enough to send."""
-    key = fresh_name(documents, "tm_doc")
-    hit = leaked(documents, items, doc_id, n=n).select(F.col("doc_id").alias(key)).distinct()
-    grams = set()
-    for (item,) in items.select("text").toLocalIterator():
-        w = [x[0] for x in _spans(item or "")]
-        grams.update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+def without_passages(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", n: int = WORDS, most: int = MOST_WINDOWS) -> DataFrame:
+    """``documents`` with every passage of ``n`` or more item words cut out of ``text``. Only documents with a leak are rewritten, each with the items found in it at hand, so no task needs them all."""
+    key, held = fresh_name(documents, "tm_doc"), fresh_name(documents, "tm_items")
+    of_item = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), F.col("text").alias("item"))
+    hit = leaked(documents, items, doc_id, item_id, text, n, most).join(of_item, "item_id").groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("item").alias(held))
 
     @F.pandas_udf("string")
-    def strip(texts: pd.Series) -> pd.Series:
-        def one(t: str) -> str:
+    def strip(texts: pd.Series, found: pd.Series) -> pd.Series:
+        grams: dict[str, set[tuple[str, ...]]] = {}
+
+        def of(item: str) -> set[tuple[str, ...]]:
+            if item not in grams:
+                w = [x[0] for x in _spans(item)]
+                grams[item] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+            return grams[item]
+
+        def one(t: str, mine: list[str]) -> str:
+            known = set().union(*(of(x) for x in mine))
             spans = _spans(t)
             gone = [False] * len(spans)
             for i in range(len(spans) - n + 1):
-                if tuple(x[0] for x in spans[i : i + n]) in grams:
+                if tuple(x[0] for x in spans[i : i + n]) in known:
                     gone[i : i + n] = [True] * n
             out, at, i = [], 0, 0
             while i < len(spans):
@@ -157,8 +171,7 @@ def without_passages(documents: DataFrame, items: DataFrame, doc_id: str = "doc_
                 i += 1
             return "".join([*out, t[at:]])
 
-        return texts.map(one)
+        return pd.Series([None if t is None else one(t, mine) for t, mine in zip(texts, found)])
 
-    keyed = documents.withColumn(key, F.col(doc_id).cast("long"))
-    clean = keyed.join(hit, key, "left_semi").withColumn(text, strip(F.col(text)))
-    return keyed.join(hit, key, "left_anti").unionByName(clean).drop(key)
+    joined = documents.withColumn(key, F.col(doc_id).cast("long")).join(hit, key, "left")
+    return joined.withColumn(text, F.when(F.col(held).isNotNull(), strip(F.when(F.col(held).isNotNull(), F.col(text)), F.coalesce(held, F.array().cast("array<string>")))).otherwise(F.col(text))).drop(key, held)
