@@ -56,9 +56,10 @@ def test_signed_deltas_equal_a_new_count(spark):
 
 def test_a_delta_rewrites_the_buckets_it_touches(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(cooccur, "ROWS", 4)
+    monkeypatch.setattr(cooccur, "LEAST_BUCKETS", 1)
     data = [(str(i), [f"a{i % 12}", f"b{i % 12}"], f"c{i % 12}") for i in range(60)]
     one = cooccur.PairTable(spark, f"{tmp_path}/t").apply(_baskets(spark, data))
-    assert one.manifest["buckets"] == 9
+    assert one.manifest["buckets"] == 15
     changed = [("99", ["a0", "b0"], "b0")]
     two = cooccur.PairTable.latest(spark, f"{tmp_path}/t").apply(_baskets(spark, changed))
     assert _scores(two) == _brute(data + changed)

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ..session import scratch
 from .charform import NON_ASCII, WIDTH_FROM, WIDTH_TO, nfc
 
-#: Rows of a bucket that the number of buckets is chosen for, and the most buckets there are.
-ROWS, MOST_BUCKETS = 2_000_000, 4096
+#: Baskets or pairs of a bucket that the number of buckets is chosen for, the least and the most buckets there are, and the parts a bucket is written in beyond that.
+ROWS, LEAST_BUCKETS, MOST_BUCKETS, MOST_PARTS = 100_000, 16, 4096, 1024
 TABLES = {"baskets": "id string, tags array<string>", "counts": "tag_a string, tag_b string, n long", "scores": "tag_a string, tag_b string, n long, n_a long, n_b long, association double"}
 #: Baskets of at most so many tags expand in place; larger ones take the join.
 IN_PLACE = 64
@@ -63,7 +63,7 @@ class PairTable:
 
     def __init__(self, spark: SparkSession, path: str | None = None, version: int = 0):
         self.spark, self.path, self.version = spark, (path or scratch(spark, "pairs")).rstrip("/"), version
-        self.manifest = json.loads("".join(r[0] for r in spark.read.text(f"{self.path}/manifests/{version}").collect())) if version else {"buckets": 0, "id": "string", **{t: {} for t in TABLES}}
+        self.manifest = json.loads("".join(r[0] for r in spark.read.text(f"{self.path}/manifests/{version}").collect())) if version else {"buckets": 0, "parts": 1, "id": "string", **{t: {} for t in TABLES}}
 
     @classmethod
     def latest(cls, spark: SparkSession, path: str) -> PairTable:
@@ -85,10 +85,11 @@ class PairTable:
         return F.pmod(F.xxhash64(*columns), F.lit(of)).cast("int").alias("bucket")
 
     def _put(self, df: DataFrame, name: str, version: int, of: int, *key: str) -> dict[str, int]:
-        """Write the buckets that ``df`` holds whole; a bucket goes to one task."""
+        """Write the buckets that ``df`` holds whole; a bucket goes to as many tasks as the manifest's parts say."""
         at = f"{self.path}/{name}/version={version}"
         columns = [c.split(" ")[0] for c in TABLES[name].split(", ")]
-        df.select(*columns, self._bucket(*key, of=of)).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(at)
+        part = F.pmod(F.xxhash64(F.lit(1), *key), F.lit(self.manifest["parts"]))
+        df.select(*columns, self._bucket(*key, of=of)).repartition("bucket", part).write.mode("overwrite").partitionBy("bucket").parquet(at)
         fs, where = _fs(self.spark, at)
         names = [x.getPath().getName() for x in fs.listStatus(where)]
         return {n.removeprefix("bucket="): version for n in names if n.startswith("bucket=")}
@@ -108,7 +109,11 @@ class PairTable:
         _pairs(signed).groupBy("tag_a", "tag_b").agg(F.sum("n").alias("n")).where("n <> 0").write.mode("overwrite").parquet(f"{step}/pairs")
         signed.select(F.explode("tags").alias("tag"), "sign").groupBy("tag").agg(F.sum("sign").alias("n")).where("n <> 0").write.mode("overwrite").parquet(f"{step}/tags")
         pairs, tags = self.spark.read.parquet(f"{step}/pairs"), self.spark.read.parquet(f"{step}/tags")
-        of = self.manifest["buckets"] or min(MOST_BUCKETS, max(1, -(-pairs.count() // ROWS)))
+        if not self.version:
+            rows = max(pairs.count(), changed.count())
+            of = min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows // ROWS)))
+            self.manifest |= {"buckets": of, "parts": min(MOST_PARTS, max(1, rows // (ROWS * of)))}
+        of = self.manifest["buckets"]
         total, marginals = signed.agg(F.coalesce(F.sum("sign"), F.lit(0).cast("long")).alias("n")), tags
         if self.version:
             total = total.union(self.read("total")).agg(F.sum("n").alias("n"))
@@ -128,7 +133,7 @@ class PairTable:
         counts = self.read("counts", where).unionByName(pairs).groupBy("tag_a", "tag_b").agg(F.sum("n").alias("n")).where("n > 0")
         kept["counts"] = {b: v for b, v in kept["counts"].items() if b not in where} | self._put(counts, "counts", version, of, "tag_a", "tag_b")
         after = PairTable.__new__(PairTable)
-        after.spark, after.path, after.version, after.manifest = self.spark, self.path, version, {"buckets": of, "id": kind, **kept}
+        after.spark, after.path, after.version, after.manifest = self.spark, self.path, version, {"buckets": of, "parts": self.manifest["parts"], "id": kind, **kept}
         # Scores: also the buckets of pairs with a changed marginal.
         stale = pairs.select("tag_a", "tag_b")
         if self.version:
