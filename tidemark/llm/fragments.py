@@ -91,6 +91,7 @@ def candidates(postings: DataFrame, num: int, den: int, block: int = BLOCK) -> D
     most pairs that meet in a token by chance are dropped in the join.
     """
     hot = postings.where("indexed").groupBy("token").agg(F.count("*").alias("n")).where(f"n > {block}").select("token", F.ceil(F.col("n") / block).cast("int").alias("parts"))
+    hot = cut(hot, "hot")  # written, its size is known: a small table is sent and the postings aren't shuffled for it
     split = postings.join(hot, "token", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     p = split.select("token", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("key").alias("x"), F.col("size").alias("xs"), F.col("pos").alias("xp"), F.col("bits").alias("xb"))
     i = split.where("indexed").select("token", F.expr("CASE WHEN parts = 1 THEN 0 ELSE int(pmod(xxhash64(key), parts)) END").alias("part"), F.col("key").alias("y"), F.col("size").alias("ys"), F.col("pos").alias("yp"), F.col("bits").alias("yb"))
